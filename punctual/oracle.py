@@ -292,6 +292,7 @@ STATEMENTS: dict[str, str] = {
     "v_orders": _fact("""SELECT DISTINCT ON (order_id) order_id, geography_id, shipping_mode_id,
   order_date_id, shipping_date_id, late_delivery_risk, delivery_status, order_status, payment_type
 FROM fact ORDER BY order_id, order_item_id"""),
+    "csv_ingest": _stg("SELECT * FROM stg"),
     "late_rate_by_region": _orders(
         f"SELECT order_region, count(*) AS n_orders, {LATE} AS late_rate FROM v GROUP BY 1"
     ),
@@ -366,13 +367,15 @@ FROM shrunk GROUP BY 1"""),
 FROM (SELECT order_id FROM fact GROUP BY order_id HAVING count(DISTINCT {c}) > 1
       OR (count({c}) > 0 AND count({c}) < count(*)))""" for c in _ORDER_FIELDS
     )),
-    "dq_lines_per_order_constancy": """SELECT count(*) AS n_orders,
+    "dq_line_constancy": """SELECT count(*) AS n_orders,
   CAST(count(*) FILTER (flags > 1) AS BIGINT) AS n_varying_returnflag,
   CAST(count(*) FILTER (statuses > 1) AS BIGINT) AS n_varying_linestatus
 FROM (SELECT l_orderkey, count(DISTINCT l_returnflag) AS flags,
         count(DISTINCT l_linestatus) AS statuses FROM lineitem GROUP BY 1)""",
     "insert_if_absent_customer": _dims("""SELECT customer_id, customer_segment, customer_city,
   customer_state, customer_country FROM dim_customer"""),
+    "incremental_load": _orders(f"""SELECT order_region, shipping_mode, count(*) AS n_orders,
+  {LATE} AS late_rate FROM v GROUP BY 1, 2"""),
     "order_features": _orders("""SELECT v.order_id, v.late_delivery_risk,
   v.order_region, v.shipping_mode, CAST(t.total_sales AS DECIMAL(28,2)) AS total_sales
 FROM v JOIN totals t USING (order_id)"""),
@@ -398,9 +401,10 @@ FROM (SELECT order_id, late_delivery_risk, count(*) OVER (PARTITION BY late_deli
                            ORDER BY md5(order_id || '|42'), order_id) AS rn FROM v)
 GROUP BY 1, 2"""),
     "late_rate_shrunk": _scores("""SELECT order_region, shipping_mode, n AS n_orders,
-  raw AS late_rate, rate AS global_rate, score AS late_rate_adjusted FROM shrunk, world"""),
+  raw AS late_rate, round(rate, 9) AS global_rate, round(score, 9) AS late_rate_adjusted
+FROM shrunk, world"""),
     "shrinkage_shift_top": _scores("""SELECT order_region, shipping_mode, n AS n_orders,
-  raw AS late_rate, score AS late_rate_adjusted, abs(score - raw) AS shift
+  raw AS late_rate, round(score, 9) AS late_rate_adjusted, round(abs(score - raw), 9) AS shift
 FROM shrunk ORDER BY shift DESC, order_region, shipping_mode LIMIT 8"""),
     "baseline_expected_late": _scores("""SELECT CAST(sum(n) AS BIGINT) AS n_orders,
   round(sum(n * raw), 6) AS baseline_late, round(sum(n * score), 6) AS baseline_late_adjusted
