@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from punctual.streaming import incremental
 # data, so the value limits are scaled. Tree counts of the registered queries are small.
 VALUE_LIMITS = [100_000, 200_000, 300_000]
 BUDGETS = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0]
+SWEEP = [tenths / 10 for tenths in range(10, 41)]
 REGIONS = ["NATION_0", "NATION_7", "NATION_13"]
 LOADED_BEFORE = "1996-01-01"
 TREES = 10
@@ -55,28 +56,28 @@ def _cell_scores(house: Warehouse) -> DataFrame:
     )
 
 
-def _allocated(house: Warehouse, region: str) -> DataFrame:
-    return al.allocate(
-        sh.shrink(sh.what_if_cells(house, "loose", region)), BUDGETS, region=region
-    )
+def _allocated(house: Warehouse, region: str, budgets: Sequence[float]) -> DataFrame:
+    cells = sh.what_if_cells(house, "loose", region)
+    return al.allocate(sh.shrink(cells), budgets, region=region)
 
 
-def _by_budget(house: Warehouse, region: str) -> DataFrame:
+def _headline(allocated: DataFrame) -> DataFrame:
     return _rounded(
-        _allocated(house, region).drop("plan"), 6,
-        "expected_late", "baseline_late", "baseline_late_adjusted", "pct_of_baseline",
+        allocated.drop("plan"), 6, "expected_late", "baseline_late",
+        "baseline_late_adjusted", "pct_of_baseline", "delta_pct",
     )
 
 
+def _by_budget(region: str, budgets: Sequence[float]) -> Callable[[Warehouse], DataFrame]:
+    return lambda house: _headline(_allocated(house, region, budgets))
+
+
 def _by_market_and_region(house: Warehouse) -> DataFrame:
     """Every market decides for its own regions, all markets side by side."""
     cells = sh.what_if_cells(house, "loose", "order_region")
     markets = house.table("dim_geography").select("order_region", "market").distinct()
     shrunk = sh.shrink(cells).join(markets, "order_region")
-    return _rounded(
-        al.allocate(shrunk, BUDGETS, scenario=["market"]).drop("plan"), 6,
-        "expected_late", "baseline_late", "baseline_late_adjusted", "pct_of_baseline",
-    )
+    return _headline(al.allocate(shrunk, BUDGETS, scenario=["market"]))
 
 
 def _grown_customers(house: Warehouse) -> DataFrame:
@@ -190,6 +191,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "actual_vs_scheduled_by_mode": dg.actual_vs_scheduled_by_mode,
     "late_rate_selected_regions": lambda w: dg.late_rate_selected_regions(w, REGIONS),
     "region_mode_stats": dg.region_mode_stats,
+    "region_mode_table": lambda w: dg.region_mode_table(w, REGIONS),
     "late_rate_pivot": lambda w: dg.late_rate_pivot(w, retail.MODES),
     "overall_late_rate": dg.overall_late_rate,
     "distinct_regions": dg.distinct_regions,
@@ -226,9 +228,10 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         ev.classification_report(_cell_scores(w)), 9, "precision", "recall", "f1_score"
     ),
     "risk_bands": lambda w: ev.risk_bands(_cell_scores(w)),
-    "allocation_by_budget": lambda w: _by_budget(w, "market"),
-    "allocation_plan": lambda w: al.assignment(_allocated(w, "market")),
-    "allocation_by_region": lambda w: _by_budget(w, "order_region"),
+    "allocation_by_budget": _by_budget("market", BUDGETS),
+    "allocation_plan": lambda w: al.assignment(_allocated(w, "market", BUDGETS)),
+    "allocation_sweep": _by_budget("market", SWEEP),
+    "allocation_by_region": _by_budget("order_region", BUDGETS),
     "allocation_per_market": _by_market_and_region,
     "logistic_metrics": _held_out("logistic"),
     "gbt_metrics": _held_out("gbt"),

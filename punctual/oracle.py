@@ -8,12 +8,13 @@ from __future__ import annotations
 
 STAGING = """
 lines AS (
-  SELECT *, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS item
+  SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                      strftime(l_shipdate, '%Y%m%d'), CAST(l_quantity AS INTEGER)) AS item
   FROM lineitem
 ),
 per_order AS (
   SELECT l_orderkey AS k, CAST(max(l_shipdate) AS DATE) AS shipped,
-         arg_min(l_returnflag, item) AS payment
+         min(l_returnflag) AS payment
   FROM lines GROUP BY l_orderkey
 ),
 order_facts AS (
@@ -68,6 +69,10 @@ stg AS (
     CAST(NULL AS DECIMAL(18,2)) AS benefit_per_order
   FROM lines l JOIN order_facts o ON o.o_orderkey = l.l_orderkey
   LEFT JOIN part p ON p.p_partkey = l.l_partkey
+),
+items AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id
+    ORDER BY sales, order_item_discount, order_item_discount_rate) AS rn FROM stg) WHERE rn = 1
 )"""
 
 DIMENSIONS = """,
@@ -115,7 +120,7 @@ fact AS (
          s.order_item_discount, s.order_item_discount_rate, s.order_item_product_price,
          s.order_item_profit_ratio, s.order_item_total, s.order_profit_per_order,
          s.benefit_per_order, s.payment_type
-  FROM stg s
+  FROM items s
   LEFT JOIN dim_geography g ON g.order_city IS NOT DISTINCT FROM s.order_city
     AND g.order_state IS NOT DISTINCT FROM s.order_state
     AND g.order_country IS NOT DISTINCT FROM s.order_country
@@ -129,11 +134,11 @@ fact AS (
 # Flat order grain: the first item's fields with the names still attached.
 ORDERS = """,
 v AS (
-  SELECT DISTINCT ON (order_id) * FROM stg ORDER BY order_id, order_item_id
+  SELECT DISTINCT ON (order_id) * FROM items ORDER BY order_id, order_item_id
 ),
 totals AS (
   SELECT order_id, sum(sales) AS total_sales, max(days_for_shipment_sched) AS max_sched
-  FROM stg GROUP BY order_id
+  FROM items GROUP BY order_id
 )"""
 
 SCORES = """,
@@ -186,7 +191,7 @@ plans AS (
   WHERE a.market = 'AFRICA' AND b.market = 'AMERICA' AND c.market = 'ASIA'
     AND d.market = 'EUROPE' AND e.market = 'MIDDLE EAST'
 ),
-budgets AS (SELECT unnest([0.5, 1.0, 1.5, 2.0, 2.5, 3.0]) AS budget),
+budgets AS (SELECT CAST(unnest({budgets}) AS DOUBLE) AS budget),
 best AS (
   SELECT b.budget, arg_min(p.cost, p.late) AS cost, min(p.late) AS late,
          arg_min(p.modes, p.late) AS modes
@@ -195,6 +200,52 @@ best AS (
 )"""
 
 
+# The same for the regions of each market, and for all regions at once. Regions are
+# added one by one; a partial plan is kept if no cheaper one is as good.
+REGION_CHOICES = """,
+cell AS (
+  SELECT market, order_region, shipping_mode, count(*) AS n,
+         CAST(sum(CAST(days_for_shipping_real > CASE shipping_mode WHEN 'Same Day' THEN 5
+           WHEN 'First Class' THEN 4 WHEN 'Second Class' THEN 3 ELSE 2 END AS INTEGER)) AS DOUBLE)
+           AS late
+  FROM v GROUP BY ALL
+),
+world AS (SELECT sum(late) / sum(n) AS rate FROM cell),
+choice AS (
+  SELECT {scope} AS scope, dense_rank() OVER (PARTITION BY {scope} ORDER BY c.order_region) AS step,
+    CAST(vol.n * CASE c.shipping_mode WHEN 'Same Day' THEN 4 WHEN 'First Class' THEN 3
+                 WHEN 'Second Class' THEN 2 ELSE 1 END AS BIGINT) AS cost,
+    vol.n * ((c.n * (c.late / c.n) + 100 * w.rate) / (c.n + 100)) AS late,
+    c.n * ((c.n * (c.late / c.n) + 100 * w.rate) / (c.n + 100)) AS mixed, c.n, c.late AS raw_late
+  FROM cell c
+  JOIN (SELECT order_region, sum(n) AS n FROM cell GROUP BY 1) vol USING (order_region), world w
+),
+plans AS (
+  SELECT scope, CAST(0 AS BIGINT) AS step, CAST(0 AS BIGINT) AS cost, CAST(0 AS DOUBLE) AS late
+  FROM (SELECT DISTINCT scope FROM choice)
+  UNION ALL
+  SELECT scope, step, cost, late FROM (
+    SELECT scope, step, cost, late, min(late) OVER (PARTITION BY scope ORDER BY cost, late
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS better
+    FROM (SELECT p.scope, CAST(p.step + 1 AS BIGINT) AS step,
+                 CAST(p.cost + c.cost AS BIGINT) AS cost, p.late + c.late AS late
+          FROM plans p JOIN choice c ON c.scope = p.scope AND c.step = p.step + 1))
+  WHERE better IS NULL OR late < better
+),
+totals_by_scope AS (
+  SELECT scope, CAST(sum(n) AS BIGINT) AS n, sum(raw_late) AS baseline, sum(mixed) AS adjusted,
+         max(step) AS last FROM choice GROUP BY scope
+),
+best AS (
+  SELECT t.scope, b.budget, t.n, t.baseline, t.adjusted,
+         arg_min(p.cost, p.late) AS cost, min(p.late) AS late
+  FROM totals_by_scope t
+  CROSS JOIN (SELECT CAST(unnest([0.5, 1.0, 1.5, 2.0, 2.5, 3.0]) AS DOUBLE) AS budget) b
+  LEFT JOIN plans p ON p.scope = t.scope AND p.step = t.last AND p.cost <= b.budget * t.n
+  GROUP BY ALL
+)"""
+
+
 def rate(late: str, n: str, digits: int = 3) -> str:
     """late / n, rounded half up, in integers; both arguments not negative."""
     unit = 10**digits
@@ -230,8 +281,22 @@ def _scores(select: str) -> str:
     return _with(STAGING, ORDERS, SCORES, select=select)
 
 
-def _allocation(select: str) -> str:
-    return _with(STAGING, ORDERS, ALLOCATION, select=select)
+FEW_BUDGETS = "[0.5, 1.0, 1.5, 2.0, 2.5, 3.0]"
+SWEEP = "[x / 10.0 for x in range(10, 41)]"
+
+
+def _allocation(select: str, budgets: str = FEW_BUDGETS) -> str:
+    return _with(STAGING, ORDERS, ALLOCATION.replace("{budgets}", budgets), select=select)
+
+
+_HEADLINE = """SELECT budget, cost IS NOT NULL AS feasible,
+  CAST(cost AS DOUBLE) AS total_cost, round(best.late, 6) AS expected_late,
+  CAST((SELECT n FROM whole) AS BIGINT) AS n_orders,
+  round((SELECT late FROM whole), 6) AS baseline_late,
+  round((SELECT sum(mixed) FROM choice), 6) AS baseline_late_adjusted,
+  round(100 * best.late / (SELECT late FROM whole), 6) AS pct_of_baseline,
+  round(100 * best.late / (SELECT late FROM whole) - 100, 6) AS delta_pct
+FROM best"""
 
 
 def _key_report(table: str, source: str, keys: str) -> str:
@@ -281,6 +346,16 @@ FROM (
     ON c.a = x.a AND c.b = y.b)""")
 
 
+def _by_region(scope: str, name: str) -> str:
+    staged = "WITH RECURSIVE " + STAGING + ORDERS + REGION_CHOICES.replace("{scope}", scope)
+    return staged + f"""
+SELECT {name}budget, cost IS NOT NULL AS feasible, CAST(cost AS DOUBLE) AS total_cost,
+  round(late, 6) AS expected_late, n AS n_orders, round(baseline, 6) AS baseline_late,
+  round(adjusted, 6) AS baseline_late_adjusted,
+  round(100 * late / baseline, 6) AS pct_of_baseline,
+  round(100 * late / baseline - 100, 6) AS delta_pct FROM best"""
+
+
 STATEMENTS: dict[str, str] = {
     "stg_orders": _stg("SELECT * FROM stg"),
     "dim_customer": _dims("SELECT * FROM dim_customer"),
@@ -303,14 +378,14 @@ FROM fact ORDER BY order_id, order_item_id"""),
   {LATE} AS late_rate FROM v GROUP BY 1, 2"""),
     "avg_order_value_region_mode": _stg(f"""SELECT order_region, shipping_mode,
   {rate("sum(CAST(100 * total AS HUGEINT))", "count(*)", 0)} / 100.0 AS avg_order_value
-FROM (SELECT order_id, order_region, shipping_mode, sum(sales) AS total FROM stg GROUP BY 1, 2, 3)
+FROM (SELECT order_id, order_region, shipping_mode, sum(sales) AS total FROM items GROUP BY 1, 2, 3)
 GROUP BY 1, 2"""),
     "late_rate_by_order_value": _orders(f"""SELECT CASE WHEN total_sales < 100000 THEN '<100000'
   WHEN total_sales < 200000 THEN '100000-200000' WHEN total_sales < 300000 THEN '200000-300000'
   ELSE '300000+' END AS sales_bucket, count(*) AS n_orders, {LATE} AS late_rate
 FROM v JOIN totals USING (order_id) GROUP BY 1"""),
     "worst_categories": _stg(f"""SELECT category_name, count(*) AS n_order_items, {LATE} AS late_rate
-FROM stg WHERE category_name IS NOT NULL GROUP BY 1 HAVING count(*) >= 200
+FROM items WHERE product_card_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 200
 ORDER BY late_rate DESC, category_name LIMIT 10"""),
     "late_rate_by_ship_weekday": _orders(f"""SELECT dayname(shipping_date) AS weekday,
   count(*) AS n_orders, {LATE} AS late_rate FROM v GROUP BY 1"""),
@@ -323,6 +398,8 @@ FROM v GROUP BY 1"""),
 WHERE order_region IN ('NATION_0', 'NATION_7', 'NATION_13') GROUP BY 1, 2"""),
     "region_mode_stats": _scores("""SELECT order_region, shipping_mode, n AS n_orders,
   raw AS late_rate FROM shrunk"""),
+    "region_mode_table": _scores("""SELECT order_region, shipping_mode, n AS n_orders,
+  raw AS late_rate FROM shrunk WHERE order_region IN ('NATION_0', 'NATION_7', 'NATION_13')"""),
     "late_rate_pivot": _scores("""SELECT order_region,
   max(raw) FILTER (shipping_mode = 'First Class') AS "First Class",
   max(raw) FILTER (shipping_mode = 'Same Day') AS "Same Day",
@@ -446,13 +523,10 @@ UNION ALL SELECT NULL, 1.0, 0.0"""),
     "risk_bands": _scores("""SELECT CASE WHEN score > 0.6 THEN 'high' WHEN score > 0.4 THEN 'moderate'
   ELSE 'low' END AS risk_band, CAST(sum(pos + neg) AS BIGINT) AS n_orders,
   CAST(sum(pos) AS BIGINT) AS n_late FROM by_score GROUP BY 1"""),
-    "allocation_by_budget": _allocation("""SELECT budget, cost IS NOT NULL AS feasible,
-  CAST(cost AS DOUBLE) AS total_cost, round(best.late, 6) AS expected_late,
-  CAST((SELECT n FROM whole) AS BIGINT) AS n_orders,
-  round((SELECT late FROM whole), 6) AS baseline_late,
-  round((SELECT sum(mixed) FROM choice), 6) AS baseline_late_adjusted,
-  round(100 * best.late / (SELECT late FROM whole), 6) AS pct_of_baseline
-FROM best"""),
+    "allocation_by_budget": _allocation(_HEADLINE),
+    "allocation_sweep": _allocation(_HEADLINE, SWEEP),
+    "allocation_by_region": _by_region("'all'", ""),
+    "allocation_per_market": _by_region("c.market", "scope AS market, "),
     "allocation_plan": _allocation("""SELECT budget,
   unnest(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST']) AS market,
   unnest(modes) AS recommended_mode FROM best WHERE cost IS NOT NULL"""),

@@ -210,7 +210,8 @@ def allocate(
         F.col("best.cost").alias("total_cost"), F.col("best.late").alias("expected_late"),
         F.col("n_orders").cast("bigint").alias("n_orders"),
         "baseline_late", "baseline_late_adjusted",
-        percent.alias("pct_of_baseline"), F.col("best.plan").alias("plan"),
+        percent.alias("pct_of_baseline"), (percent - 100).alias("delta_pct"),
+        F.col("best.plan").alias("plan"),
     )
 
 

@@ -169,6 +169,14 @@ def region_mode_stats(house: Warehouse, region: str = "order_region") -> DataFra
     )
 
 
+def region_mode_table(house: Warehouse, regions: Sequence[str] = ()) -> DataFrame:
+    """The statistics of chosen regions, worst cells first."""
+    chosen = region_mode_stats(house).filter(in_list(F.col("order_region"), regions))
+    return chosen.orderBy(
+        F.desc_nulls_first("late_rate"), "order_region", "shipping_mode"
+    )
+
+
 def late_rate_pivot(
     house: Warehouse, modes: Sequence[str], regions: Sequence[str] = ()
 ) -> DataFrame:

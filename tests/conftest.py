@@ -1,0 +1,70 @@
+import datetime
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from punctual import schema  # noqa: E402
+from punctual.plans import star  # noqa: E402
+from punctual.session import local_session, scratch_path  # noqa: E402
+
+DATA = "/root/testdata"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("scratch"))
+    session = local_session(
+        "tests", "4", **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "4"}
+    )
+    yield session
+    session.stop()
+
+
+DEFAULTS = {
+    "order_id": 1, "order_date": datetime.date(2018, 1, 30),
+    "shipping_date": datetime.date(2018, 1, 31), "shipping_mode": "First Class",
+    "days_for_shipping_real": 2, "days_for_shipment_sched": 1, "late_delivery_risk": 1,
+    "delivery_status": "Late delivery", "order_status": "COMPLETE", "payment_type": "DEBIT",
+    "customer_id": 1, "customer_segment": "Consumer", "customer_city": "Caguas",
+    "customer_state": "PR", "customer_country": "Puerto Rico",
+    "product_card_id": 10, "product_name": "Ball", "category_name": "Sport",
+    "order_city": "Lima", "order_state": "Lima", "order_country": "Peru",
+    "order_region": "South America", "market": "LATAM", "sales": 100,
+}
+
+
+@pytest.fixture
+def staging(spark):
+    """Staging rows from partial dictionaries; the item key counts up from 1."""
+    def make(*rows):
+        from decimal import Decimal
+
+        layout = schema.staging_schema()
+        full = []
+        for number, row in enumerate(rows, 1):
+            merged = {**DEFAULTS, "order_item_id": number, **row}
+            if merged["sales"] is not None:
+                merged["sales"] = Decimal(str(merged["sales"]))
+            full.append(tuple(merged.get(c) for c in layout.fieldNames()))
+        return spark.createDataFrame(full, layout)
+
+    return make
+
+
+@pytest.fixture
+def house(spark, staging):
+    """A warehouse built from partial dictionaries."""
+    def make(*rows, **options):
+        return star.build(spark, staging(*rows), scratch_path(spark, "house"), **options)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def given(spark):
+    from punctual.sources.given import warehouse_for
+
+    return warehouse_for(spark, f"{DATA}/sf0.001")

@@ -1,0 +1,105 @@
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from punctual.operators.insert import absent_rows, insert_if_absent
+from punctual.operators.keys import attach_key, drop_repeats, first_by, with_dense_id
+from punctual.operators.ordered import running_totals
+from punctual.operators.split import stratified_split
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_first_by_follows_the_order_then_the_other_columns(spark):
+    df = spark.createDataFrame(
+        [(1, "b", 2), (1, "a", 2), (1, "c", 3), (None, "n", 1)], "k int, v string, o int"
+    )
+    assert rows(first_by(df, ["k"], [F.col("o")])) == [(1, "a", 2), (None, "n", 1)]
+
+
+def test_drop_repeats_keeps_unique_rows_first_rows_and_rows_without_key(spark):
+    df = spark.createDataFrame(
+        [("x", 2), ("x", 1), ("y", 5), (None, 7), (None, 8)], "k string, v int"
+    )
+    got = rows(drop_repeats(df, "k", [F.col("v")]))
+    assert got == sorted([("x", 1), ("y", 5), (None, 7), (None, 8)], key=str)
+
+
+def test_drop_repeats_with_one_key_holding_most_rows(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+    )
+    kept = drop_repeats(df, "k", [F.col("id")])
+    assert kept.count() == 1001
+    assert kept.filter("k = 'hot'").first()["id"] == 0
+
+
+def test_dense_ids_have_no_gaps_and_do_not_depend_on_partitions(spark):
+    df = spark.range(1000).select(F.concat(F.lit("n"), "id").alias("name"))
+    one = rows(with_dense_id(df.repartition(7), ["name"], "id"))
+    two = rows(with_dense_id(df.repartition(2), ["name"], "id"))
+    assert one == two
+    assert sorted(r[0] for r in one) == list(range(1, 1001))
+    more = with_dense_id(df.limit(1000), ["name"], "id", start=50)
+    assert more.agg(F.min("id"), F.max("id")).first() == (51, 1050)
+
+
+def test_dense_ids_tell_null_from_empty_text(spark):
+    df = spark.createDataFrame([(None, "a"), ("", "a"), ("x", None)], "p string, q string")
+    assert sorted(r["id"] for r in with_dense_id(df, ["p", "q"], "id").collect()) == [1, 2, 3]
+
+
+def test_attach_key_null_safe_and_literal(spark):
+    facts = spark.createDataFrame([(1, "a", None), (2, "a", "b"), (3, "z", "z")],
+                                  "id int, p string, q string")
+    dim = spark.createDataFrame([(7, "a", None), (8, "a", "b")], "key int, p string, q string")
+    on = [("p", "p"), ("q", "q")]
+    safe = attach_key(facts, dim, on, "key", "key", null_safe=True)
+    assert {r["id"]: r["key"] for r in safe.collect()} == {1: 7, 2: 8, 3: None}
+    literal = attach_key(facts, dim, on, "key", "key", null_safe=False)
+    assert {r["id"]: r["key"] for r in literal.collect()} == {1: None, 2: 8, 3: None}
+
+
+def test_insert_twice_adds_nothing(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(1, "z"), (2, "b"), (2, "c")], "k int, v string")
+    once = insert_if_absent(batch, old, ["k"])
+    assert rows(once) == [(1, "a"), (2, "b")]
+    assert absent_rows(batch, once, ["k"]).count() == 0
+
+
+def test_insert_with_null_parts_of_the_key(spark):
+    old = spark.createDataFrame([("a", None)], "p string, q string")
+    assert absent_rows(old, old, ["p", "q"]).count() == 0
+    # Literal uniqueness takes nulls as different and would insert again.
+    assert absent_rows(old, old, ["p", "q"], null_safe=False).count() == 1
+
+
+def test_running_totals_equal_a_sequential_sum(spark):
+    rng = random.Random(7)
+    # Most values close together: ranges must follow the data, not the value space.
+    values = [(rng.random() * (1e-6 if i % 3 else 1.0), rng.randrange(5)) for i in range(2000)]
+    df = spark.createDataFrame(values, "score double, n bigint")
+    got = {r["score"]: r["n_before"] for r in
+           running_totals(df, F.desc("score"), ["n"], partitions=6).collect()}
+    total = 0
+    for score, n in sorted(values, reverse=True):
+        assert got[score] == total
+        total += n
+
+
+def test_split_equals_ranking_all_digests(spark):
+    data = [(i, int(i % 3 == 0)) for i in range(1001)]
+    df = spark.createDataFrame(data, "id int, y int")
+    got = {r["id"]: r["part"] for r in
+           stratified_split(df.repartition(5), "y", ["id"], seed=42).collect()}
+    for label in (0, 1):
+        ids = [i for i, y in data if y == label]
+        ids.sort(key=lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest())
+        cut = 0.8 * len(ids)
+        for rank, i in enumerate(ids, 1):
+            assert got[i] == ("train" if rank <= cut else "test")
+    assert len(got) == len(data)

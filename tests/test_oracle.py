@@ -1,0 +1,56 @@
+"""Every registered query with SQL gives the rows of DuckDB, types included."""
+
+import datetime
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "date": "DATE", "boolean": "BOOLEAN",
+}
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'"
+        )
+    return connection
+
+
+def comparable(value):
+    if isinstance(value, datetime.datetime):
+        return str(value.date())
+    return repr(value) if isinstance(value, float) else str(value)
+
+
+def test_every_statement_belongs_to_a_query():
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, FOLDER)
+    columns = sorted(df.columns)
+    cursor = duck.execute(SQL[name])
+    described = {d[0]: str(d[1]) for d in cursor.description}
+    order = [list(described).index(c) for c in columns]
+    expected = sorted(tuple(comparable(r[i]) for i in order) for r in cursor.fetchall())
+    assert sorted(described) == columns
+    got = sorted(tuple(comparable(r[c]) for c in columns) for r in df.collect())
+    assert got == expected
+    for field in df.schema:
+        kind = field.dataType.simpleString()
+        assert TYPES.get(kind, kind.upper()) == described[field.name].replace(" ", "")
+
+
+def test_entry_has_rows(spark):
+    assert registry.entry(spark).count() > 0
