@@ -1,0 +1,100 @@
+import pytest
+from pyspark.sql import functions as F
+
+from punctual.plans import diagnose as dg
+
+
+@pytest.fixture
+def small(house):
+    return house(
+        {"order_id": 1, "late_delivery_risk": 1, "order_region": "North", "sales": 50},
+        {"order_id": 1, "late_delivery_risk": 1, "order_region": "North", "sales": 60},
+        {"order_id": 2, "late_delivery_risk": 0, "order_region": "North", "sales": 20},
+        {"order_id": 3, "late_delivery_risk": 1, "order_region": "South of  USA ",
+         "shipping_mode": "Same Day", "sales": None},
+        {"order_id": 4, "late_delivery_risk": 0, "order_region": "South of  USA ",
+         "shipping_mode": "Same Day", "sales": 700},
+        {"order_id": 5, "late_delivery_risk": 0, "order_region": None, "sales": 300},
+    )
+
+
+def test_rates_are_at_order_grain(small):
+    got = [tuple(r) for r in dg.late_rate_by_region(small).collect()]
+    assert got == [("North", 2, 0.5), ("South of  USA ", 2, 0.5), (None, 1, 0.0)]
+
+
+def test_counts_add_up_over_all_groupings(given):
+    def total(df):
+        return df.agg(F.sum("n_orders")).first()[0]
+
+    orders = given.table("order_grain")
+    assert orders.count() == orders.select("order_id").distinct().count()
+    sums = {
+        total(dg.late_rate_by_region(given)), total(dg.late_rate_by_mode(given)),
+        total(dg.late_rate_region_mode(given)), total(dg.late_rate_by_order_value(given)),
+        total(dg.late_rate_by_ship_weekday(given)), orders.count(),
+    }
+    assert len(sums) == 1
+
+
+def test_order_value_buckets_in_order(small):
+    got = [tuple(r) for r in dg.late_rate_by_order_value(small).collect()]
+    assert [g[:2] for g in got] == [("<100", 1), ("100-300", 1), ("300-600", 1), ("600+", 2)]
+
+
+def test_region_names_are_not_trimmed(small):
+    chosen = dg.late_rate_selected_regions(small, ["South of  USA "]).collect()
+    assert [tuple(r) for r in chosen] == [("South of  USA ", "Same Day", 2, 0.5)]
+    assert dg.late_rate_selected_regions(small, ["South of USA"]).count() == 0
+
+
+def test_empty_region_list_returns_all(small):
+    assert dg.late_rate_selected_regions(small, []).count() == 3
+    assert dg.region_mode_table(small).count() == 3
+
+
+def test_average_order_value_sums_items_first(small):
+    got = {(r[0], r[1]): r[2] for r in dg.avg_order_value_region_mode(small).collect()}
+    assert got[("North", "First Class")] == 65.0
+    # An order without any known sale has no value to average.
+    assert got[("South of  USA ", "Same Day")] == 700.0
+
+
+def test_category_minimum(house):
+    few = [{"order_id": i, "product_card_id": 1, "category_name": "few"} for i in range(199)]
+    enough = [{"order_id": i, "product_card_id": 2, "category_name": "enough"}
+              for i in range(200)]
+    w = house(*few, *enough)
+    assert [r["category_name"] for r in dg.worst_categories(w).collect()] == ["enough"]
+
+
+def test_ties_in_the_top_list_are_broken_by_name(house):
+    w = house(*[{"order_id": i, "product_card_id": i, "category_name": f"c{i}"}
+                for i in range(5)])
+    got = [r["category_name"] for r in dg.worst_categories(w, min_items=1, top=3).collect()]
+    assert got == ["c0", "c1", "c2"]
+
+
+def test_days_are_the_first_items(house):
+    w = house({"days_for_shipping_real": 3}, {"days_for_shipping_real": 9},
+              {"order_id": 2, "days_for_shipping_real": 4})
+    row = dg.actual_vs_scheduled_by_mode(w).first()
+    assert tuple(row) == ("First Class", 3.5, 1.0)
+
+
+def test_pivot_has_a_column_per_listed_mode(small):
+    wide = dg.late_rate_pivot(small, ["First Class", "Same Day"], ["North"])
+    assert [tuple(r) for r in wide.collect()] == [("North", 0.5, None)]
+
+
+def test_orders_without_a_known_place_are_left_out(house):
+    w = house({"order_city": None}, {"order_id": 2}, null_safe=False)
+    assert dg.late_rate_by_region(w).first()["n_orders"] == 1
+    assert dg.late_rate_by_mode(w).first()["n_orders"] == 2
+
+
+def test_distinct_lists(small):
+    assert [r[0] for r in dg.distinct_regions(small).collect()] == [
+        "North", "South of  USA ", None,
+    ]
+    assert [r[0] for r in dg.distinct_modes(small).collect()] == ["First Class", "Same Day"]
