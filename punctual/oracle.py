@@ -9,7 +9,8 @@ from __future__ import annotations
 STAGING = """
 lines AS (
   SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                      strftime(l_shipdate, '%Y%m%d'), CAST(l_quantity AS INTEGER)) AS item
+                      date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)),
+                      CAST(l_quantity AS INTEGER)) AS item
   FROM lineitem
 ),
 per_order AS (

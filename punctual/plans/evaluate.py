@@ -36,21 +36,6 @@ def _double(column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def roc_auc(counts: DataFrame) -> DataFrame:
-    """Area under the ROC curve; equal scores count half. Exact integer sums."""
-    def wide(column: str) -> Column:
-        return F.col(column).cast("decimal(18,0)")
-
-    pairs = (wide("n_neg") * (2 * wide("n_pos_before") + wide("n_pos"))).cast(EXACT)
-    sums = _curve(counts).agg(
-        F.sum(pairs).cast("double").alias("twice"),
-        F.sum("n_pos").cast("double").alias("p"),
-        F.sum("n_neg").cast("double").alias("q"),
-    )
-    area = F.try_divide(F.col("twice"), 2.0 * F.col("p") * F.col("q"))
-    return sums.select(area.alias("roc_auc"))
-
-
 def _precision(tp: Column, fp: Column) -> Column:
     """Share of true positives; 1 where nothing is selected yet."""
     return F.coalesce(F.try_divide(tp, tp + fp), F.lit(1.0))
@@ -76,15 +61,36 @@ def pr_curve(counts: DataFrame) -> DataFrame:
     return points.unionByName(end)
 
 
-def pr_auc(counts: DataFrame) -> DataFrame:
-    """Area under the precision-recall curve by the trapezoid rule."""
+def areas(counts: DataFrame) -> DataFrame:
+    """One row with both areas, from one pass over the curve.
+
+    ROC: equal scores count half; the sums are exact integers. Precision-recall: the
+    trapezoid rule.
+    """
+    def wide(column: str) -> Column:
+        return F.col(column).cast("decimal(18,0)")
+
+    pairs = (wide("n_neg") * (2 * wide("n_pos_before") + wide("n_pos"))).cast(EXACT)
     before = _precision(_double("n_pos_before"), _double("n_neg_before"))
     after = _precision(_double("tp"), _double("fp"))
-    slices = _curve(counts).agg(
+    sums = _curve(counts).agg(
+        F.sum(pairs).cast("double").alias("twice"),
         F.sum(_double("n_pos") * (before + after) / 2).alias("area"),
         F.sum("n_pos").cast("double").alias("p"),
+        F.sum("n_neg").cast("double").alias("q"),
     )
-    return slices.select(F.try_divide(F.col("area"), F.col("p")).alias("pr_auc"))
+    return sums.select(
+        F.try_divide(F.col("twice"), 2.0 * F.col("p") * F.col("q")).alias("roc_auc"),
+        F.try_divide(F.col("area"), F.col("p")).alias("pr_auc"),
+    )
+
+
+def roc_auc(counts: DataFrame) -> DataFrame:
+    return areas(counts).select("roc_auc")
+
+
+def pr_auc(counts: DataFrame) -> DataFrame:
+    return areas(counts).select("pr_auc")
 
 
 def confusion(counts: DataFrame, threshold: float = 0.5) -> DataFrame:

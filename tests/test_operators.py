@@ -24,7 +24,7 @@ def test_drop_repeats_keeps_unique_rows_first_rows_and_rows_without_key(spark):
     df = spark.createDataFrame(
         [("x", 2), ("x", 1), ("y", 5), (None, 7), (None, 8)], "k string, v int"
     )
-    got = rows(drop_repeats(df, "k", [F.col("v")]))
+    got = rows(drop_repeats(df, ["k"], [F.col("v")]))
     assert got == sorted([("x", 1), ("y", 5), (None, 7), (None, 8)], key=str)
 
 
@@ -32,11 +32,22 @@ def test_drop_repeats_with_one_key_holding_most_rows(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
     )
-    kept = drop_repeats(df, "k", [F.col("id")])
+    kept = drop_repeats(df, ["k"], [F.col("id")])
     assert kept.count() == 1001
     assert kept.filter("k = 'hot'").first()["id"] == 0
 
 
+def test_drop_repeats_of_composite_keys(spark):
+    df = spark.createDataFrame(
+        [("a", None, 2), ("a", None, 1), (None, "a", 3), ("a", "b", 4)],
+        "p string, q string, v int",
+    )
+    # Both null keys hash alike, but they are different keys.
+    safe = rows(drop_repeats(df, ["p", "q"], [F.col("v")], null_safe=True))
+    assert safe == sorted([("a", None, 1), (None, "a", 3), ("a", "b", 4)], key=str)
+    assert drop_repeats(df, ["p", "q"], [F.col("v")]).count() == 4
+
+
 def test_dense_ids_have_no_gaps_and_do_not_depend_on_partitions(spark):
     df = spark.range(1000).select(F.concat(F.lit("n"), "id").alias("name"))
     one = rows(with_dense_id(df.repartition(7), ["name"], "id"))
