@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,14 +37,12 @@ def dim_product(staging: DataFrame) -> DataFrame:
     return _latest_attributes(staging, "product_card_id", schema.PRODUCT_ATTRIBUTES)
 
 
-def dim_geography(staging: DataFrame) -> DataFrame:
-    places = staging.select(*schema.GEOGRAPHY).distinct()
-    return with_dense_id(places, schema.GEOGRAPHY, "geography_id")
+def places(staging: DataFrame) -> DataFrame:
+    return staging.select(*schema.GEOGRAPHY).distinct()
 
 
-def dim_shipping_mode(staging: DataFrame) -> DataFrame:
-    modes = staging.select("shipping_mode").filter("shipping_mode is not null").distinct()
-    return with_dense_id(modes, ["shipping_mode"], "shipping_mode_id")
+def shipping_modes(staging: DataFrame) -> DataFrame:
+    return staging.select("shipping_mode").filter("shipping_mode is not null").distinct()
 
 
 def calendar_days(staging: DataFrame) -> DataFrame:
@@ -60,16 +59,24 @@ def calendar_days(staging: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(staging: DataFrame) -> DataFrame:
-    return with_dense_id(calendar_days(staging), ["full_date"], "date_id")
+# Dimension: rows from staging, natural key, numbered key.
+NUMBERED = {
+    "dim_geography": (places, schema.GEOGRAPHY, "geography_id"),
+    "dim_shipping_mode": (shipping_modes, ["shipping_mode"], "shipping_mode_id"),
+    "dim_date": (calendar_days, ["full_date"], "date_id"),
+}
+
+
+def numbered(name: str, staging: DataFrame) -> DataFrame:
+    """A dimension with a surrogate key."""
+    rows, natural, key = NUMBERED[name]
+    return with_dense_id(rows(staging), natural, key)
 
 
 DIMENSIONS = {
     "dim_customer": dim_customer,
     "dim_product": dim_product,
-    "dim_geography": dim_geography,
-    "dim_shipping_mode": dim_shipping_mode,
-    "dim_date": dim_date,
+    **{name: partial(numbered, name) for name in NUMBERED},
 }
 
 
