@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from punctual import oracle, schema
 from punctual.operators.insert import insert_if_absent
@@ -91,10 +90,12 @@ def _grown_customers(house: Warehouse) -> DataFrame:
 
 def _streamed(house: Warehouse) -> DataFrame:
     """Late rates of a warehouse that was filled from staging files by a stream."""
-    spark, staged = house.spark, house.table("stg_orders")
-    target = incremental.empty_warehouse(spark, staged, scratch_path(spark, "streamed"))
+    spark = house.spark
+    layouts = schema.table_schemas(schema.TEXT, retail.MONEY)
+    target = incremental.empty_warehouse(spark, scratch_path(spark, "streamed"), layouts)
     incremental.stream_into(
-        target, house.path("stg_orders"), staged, scratch_path(spark, "progress")
+        target, house.path("stg_orders"), layouts["stg_orders"],
+        scratch_path(spark, "progress"),
     ).awaitTermination()
     incremental.refresh_orders(target)
     return dg.late_rate_region_mode(target)
@@ -104,7 +105,7 @@ def _from_csv(house: Warehouse) -> DataFrame:
     """Staging rows written as the raw CSV and loaded again."""
     path = scratch_path(house.spark, "csv")
     csv_files.write_csv(house.table("stg_orders"), path)
-    layout = schema.staging_schema(item_key=T.StringType(), amount=retail.MONEY)
+    layout = schema.staging_schema(schema.TEXT, retail.MONEY)
     return csv_files.load_csv(house.spark, path, schema=layout)
 
 

@@ -136,6 +136,14 @@ def v_orders(orders: DataFrame) -> DataFrame:
     return orders.select(*schema.V_ORDERS)
 
 
+def register_views(house: Warehouse, prefix: str = "") -> None:
+    """Temporary views, so that SQL text can name the tables and the order view."""
+    for name in schema.table_schemas():
+        if name != "order_grain":
+            house.table(name).createOrReplaceTempView(prefix + name)
+    v_orders(house.table("order_grain")).createOrReplaceTempView(prefix + "v_orders")
+
+
 def build(
     spark: SparkSession, staging: DataFrame, root: str, null_safe: bool = True
 ) -> Warehouse:

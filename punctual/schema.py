@@ -63,3 +63,38 @@ def staging_schema(
 
 
 STAGING_COLUMNS = staging_schema().fieldNames()
+
+
+def table_schemas(
+    item_key: T.DataType = LONG, amount: T.DecimalType = T.DecimalType(18, 6)
+) -> dict[str, T.StructType]:
+    """All tables of the model. ``order_grain`` holds the order view and item sums."""
+    staging = staging_schema(item_key, amount)
+
+    def layout(*columns: str, **own: T.DataType) -> T.StructType:
+        kinds = {**{f.name: f.dataType for f in staging}, **own}
+        return T.StructType([T.StructField(c, kinds[c]) for c in columns])
+
+    keys = {k: LONG for k in [
+        "geography_id", "shipping_mode_id", "date_id", "order_date_id", "shipping_date_id",
+    ]}
+    days = {"full_date": DATE, "year": INT, "month": INT, "day": INT, "weekday": TEXT}
+    # A sum has ten more digits than its summands.
+    total = T.DecimalType(amount.precision + 10, amount.scale)
+    return {
+        "stg_orders": staging,
+        "dim_customer": layout("customer_id", *CUSTOMER_ATTRIBUTES),
+        "dim_product": layout("product_card_id", *PRODUCT_ATTRIBUTES),
+        "dim_geography": layout("geography_id", *GEOGRAPHY, **keys),
+        "dim_shipping_mode": layout("shipping_mode_id", "shipping_mode", **keys),
+        "dim_date": layout("date_id", *days, **keys, **days),
+        "fact_order_items": layout(
+            "order_item_id", "order_id", "customer_id", "product_card_id",
+            "geography_id", "shipping_mode_id", "order_date_id", "shipping_date_id",
+            *DELIVERY, *MEASURES, "payment_type", **keys,
+        ),
+        "order_grain": layout(
+            *V_ORDERS, *DELIVERY[:2], "total_sales", "max_days_sched",
+            **keys, total_sales=total, max_days_sched=INT,
+        ),
+    }

@@ -36,6 +36,23 @@ def local_session(name: str, cores: str = "*", **extra: str) -> SparkSession:
     return spark
 
 
+# Compressed input per shuffle partition, and the most partitions a shuffle gets.
+BYTES_PER_PARTITION = 64 * 2**20
+MOST_PARTITIONS = 20_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the number of shuffle partitions to suit the input; never lower it.
+
+    Adaptive execution merges partitions that turn out small, but it does not split
+    even ones that turn out large, so the number has to start high enough.
+    """
+    key = "spark.sql.shuffle.partitions"
+    wanted = min(MOST_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
+    if wanted > int(spark.conf.get(key)):
+        spark.conf.set(key, str(wanted))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from punctual.plans.star import build
-from punctual.session import scratch_path
+from punctual.session import scratch_path, size_shuffles
 from punctual.sources.retail import TABLES, read_tables, staging_from_tables
 from punctual.sources.warehouse import Warehouse
 
@@ -27,8 +27,10 @@ def warehouse_for(spark: SparkSession, folder: str) -> Warehouse:
 
     The order-grain shuffle is then paid once and not by every question.
     """
-    key = (spark.sparkContext.applicationId, folder, _content(spark, folder))
+    content = _content(spark, folder)
+    key = (spark.sparkContext.applicationId, folder, content)
     if key not in _built:
+        size_shuffles(spark, content[1])
         staging = staging_from_tables(read_tables(spark, folder))
         _built[key] = build(spark, staging, scratch_path(spark, "warehouse"))
     return _built[key]

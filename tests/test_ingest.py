@@ -87,6 +87,22 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_shuffles_grow_with_the_input_only(spark):
+    from punctual.session import size_shuffles
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        size_shuffles(spark, 2**20)
+        assert spark.conf.get(key) == before
+        size_shuffles(spark, 100 * 2**30)
+        assert int(spark.conf.get(key)) == 1600
+        size_shuffles(spark, 100 * 2**40)
+        assert int(spark.conf.get(key)) == 20_000
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_profile_counts_values_by_column(spark, staging):
     from punctual.plans.quality import profile
 
