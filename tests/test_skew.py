@@ -1,0 +1,64 @@
+"""The same comparison on skewed tables, with every join shuffled.
+
+A third of the lines belong to one order and a third to one part, a third of the orders
+to one customer, and some lines are exact copies.
+"""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+from test_oracle import FOLDER, TABLES, comparable
+
+SLOW = {"csv_ingest", "allocation_sweep", "allocation_plan", "pr_auc", "pr_curve"}
+NAMES = sorted(set(registry.oracle_sql()) - SLOW)
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("skewed")
+    connection = duckdb.connect()
+    for table in TABLES:
+        columns = "*"
+        if table == "orders":
+            columns = "* REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey)"
+        if table == "lineitem":
+            columns = """* REPLACE (
+                CASE WHEN l_partkey % 3 = 0 THEN 5 ELSE l_orderkey END AS l_orderkey,
+                CASE WHEN l_suppkey % 3 = 0 THEN 11 ELSE l_partkey END AS l_partkey)"""
+        source = f"SELECT {columns} FROM '{FOLDER}/{table}.parquet'"
+        if table == "lineitem":
+            source += f" UNION ALL (SELECT {columns} FROM '{FOLDER}/{table}.parquet' " \
+                      "ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 700)"
+        path = folder / f"{table}.parquet"
+        connection.execute(f"COPY ({source}) TO '{path}' (FORMAT parquet)")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    return str(folder), connection
+
+
+@pytest.fixture
+def shuffled(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_matches_sql_under_skew(spark, shuffled, skewed, name):
+    folder, connection = skewed
+    df = registry.queries()[name](spark, folder)
+    columns = sorted(df.columns)
+    cursor = connection.execute(registry.oracle_sql()[name])
+    order = [[d[0] for d in cursor.description].index(c) for c in columns]
+    expected = sorted(tuple(comparable(r[i]) for i in order) for r in cursor.fetchall())
+    assert sorted(tuple(comparable(r[c]) for c in columns) for r in df.collect()) == expected
