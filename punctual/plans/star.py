@@ -147,11 +147,11 @@ def register_views(house: Warehouse, prefix: str = "") -> None:
 def build(
     spark: SparkSession, staging: DataFrame, root: str, null_safe: bool = True
 ) -> Warehouse:
-    """Write and publish all tables of a new version.
+    """Write all tables anew and publish them together.
 
     The dimensions do not depend on each other; their jobs are submitted together.
     """
-    house = Warehouse.new_version(spark, root)
+    house = Warehouse(spark, root)
     staged = house.write("stg_orders", staging)
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
         list(pool.map(lambda d: house.write(d[0], d[1](staged)), DIMENSIONS.items()))

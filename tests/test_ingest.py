@@ -61,7 +61,7 @@ def test_csv_round_trip(spark, staging):
 
 
 def test_append_and_overwrite(spark, staging):
-    house = Warehouse.new_version(spark, scratch_path(spark, "w"))
+    house = Warehouse(spark, scratch_path(spark, "w"))
     rows = staging({}, {"order_id": 2})
     house.write("stg_orders", rows)
     house.write("stg_orders", rows)
@@ -69,18 +69,31 @@ def test_append_and_overwrite(spark, staging):
     assert house.append("stg_orders", rows).count() == 4
 
 
+def test_a_table_may_be_replaced_by_a_change_of_itself(spark, staging):
+    house = Warehouse(spark, scratch_path(spark, "w"))
+    house.write("t", staging({}, {"order_id": 2}))
+    before = house.table("t")
+    assert house.write("t", before.filter("order_id = 2")).count() == 1
+    assert before.count() == 2
+
+
 def test_readers_see_the_last_published_version(spark, staging):
     root = scratch_path(spark, "w")
-    first = Warehouse.new_version(spark, root)
+    first = Warehouse(spark, root)
     first.write("t", staging({}))
     first.publish()
-    second = Warehouse.new_version(spark, root)
+    second = Warehouse.open(spark, root)
     second.write("t", staging({}, {}))
     assert Warehouse.open(spark, root).table("t").count() == 1
     second.publish()
     assert Warehouse.open(spark, root).table("t").count() == 2
 
 
+def test_nothing_published_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception):
+        Warehouse.open(spark, str(tmp_path))
+
+
 def test_scratch_folder_is_the_configured_one(spark):
     from punctual.session import scratch_root
 
