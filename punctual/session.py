@@ -39,18 +39,30 @@ def local_session(name: str, cores: str = "*", **extra: str) -> SparkSession:
 # Compressed input per shuffle partition, and the most partitions a shuffle gets.
 BYTES_PER_PARTITION = 64 * 2**20
 MOST_PARTITIONS = 20_000
+# A join partition of this size and several times the median is split at hot keys.
+SKEW = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+}
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Raise the number of shuffle partitions to suit the input; never lower it.
+    """Suit the shuffles to the input.
 
-    Adaptive execution merges partitions that turn out small, but it does not split
-    even ones that turn out large, so the number has to start high enough.
+    The number of partitions is raised, never lowered: adaptive execution merges
+    partitions that turn out small, but it does not split even ones that turn out
+    large. Hot partitions are split earlier than by default, unless the session says
+    when.
     """
     key = "spark.sql.shuffle.partitions"
     wanted = min(MOST_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
     if wanted > int(spark.conf.get(key)):
         spark.conf.set(key, str(wanted))
+    chosen = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in SKEW.items():
+        if key not in chosen:
+            spark.conf.set(key, value)
 
 
 def scratch_root(spark: SparkSession) -> str:

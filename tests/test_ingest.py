@@ -42,6 +42,9 @@ def test_csv_text_dates_and_types(spark, csv):
     assert second["shipping_date"] == datetime.date(2018, 2, 3)
     # Only an empty field is null; the text NA is a value.
     assert second["order_region"] == "NA" and second["sales"] is None
+    with pytest.warns(UserWarning):
+        strict = csv_files.load_csv(spark, csv, null_texts=["NA", "NULL"])
+    assert strict.filter("order_region is null").count() == 1
 
 
 def test_missing_headers_are_listed_or_raised(spark, csv):
