@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Four hexadecimal digits: at most 65,536 counts per stratum meet in one task.
+from punctual.session import materialize
+
+# Four hexadecimal digits: at most 65,536 counts per label meet in one task, and about
+# one row in 65,536 is ranked.
 PREFIX_DIGITS = 4
 
 
@@ -21,30 +24,42 @@ def stratified_split(
     """Add ``part``: 'train' for the first ``train`` share of each label, else 'test'.
 
     Rows are ordered within a label by a digest of the key and the seed, which does
-    not depend on partitions or engine. No label is sorted as a whole: counts by
-    digest prefix tell in which prefix the cut falls, and ranks are taken inside
-    prefixes. ``keys`` must identify a row.
+    not depend on partitions or engine. ``keys`` must identify a row.
+
+    No label is sorted and no row is shuffled. Counts by digest prefix tell in which
+    prefix the cut of a label falls; only the rows of that prefix are ranked, which
+    gives the last training row. Every row is then compared with it.
     """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys],
                                F.lit(str(seed))))
     marked = df.withColumns({
         "_stratum": F.coalesce(F.col(label).cast("string"), F.lit("")),
-        "_digest": digest,
-        "_prefix": F.substring(digest, 1, PREFIX_DIGITS),
+        "_place": F.struct(digest.alias("digest"), *keys),
     })
-    counts = marked.groupBy("_stratum", "_prefix").agg(F.count("*").alias("_n"))
-    before = (
+    prefixed = marked.withColumn("_prefix", F.substring("_place.digest", 1, PREFIX_DIGITS))
+    counts = prefixed.groupBy("_stratum", "_prefix").agg(F.count("*").alias("_n"))
+    running = (
         Window.partitionBy("_stratum").orderBy("_prefix")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    offsets = counts.select(
+    total = F.sum("_n").over(Window.partitionBy("_stratum"))
+    # The small addend keeps a product such as 0.7 * 10 from ending below its integer.
+    cuts = counts.select(
         "_stratum", "_prefix",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        (F.sum("_n").over(Window.partitionBy("_stratum")) * train).alias("_cut"),
+        (F.sum("_n").over(running) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(running).alias("_through"),
+        F.floor(total * train + 1e-9).alias("_wanted"),
+    ).filter("_before < _wanted and _wanted <= _through")
+    cuts = materialize(cuts, "cuts")
+    rank = F.row_number().over(Window.partitionBy("_stratum").orderBy("_place"))
+    ranked = (
+        prefixed.select("_stratum", "_prefix", "_place").join(cuts, ["_stratum", "_prefix"])
+        .withColumn("_rank", F.col("_before") + rank)
+    )
+    last = materialize(
+        ranked.filter("_rank = _wanted").select("_stratum", F.col("_place").alias("_last")),
+        "last",
     )
-    # Join and rank use the same partitioning, so the rows are shuffled once.
-    placed = marked.join(offsets, ["_stratum", "_prefix"])
-    within = Window.partitionBy("_stratum", "_prefix").orderBy("_digest", *keys)
-    rank = F.col("_before") + F.row_number().over(within)
-    part = F.when(rank <= F.col("_cut"), "train").otherwise("test")
-    return placed.select(*df.columns, part.alias("part"))
+    # One row per label, small enough to be broadcast by its size.
+    part = F.when(F.col("_place") <= F.col("_last"), "train").otherwise("test")
+    return marked.join(last, "_stratum", "left").select(*df.columns, part.alias("part"))

@@ -104,15 +104,24 @@ def test_running_totals_equal_a_sequential_sum(spark, rows_per_range):
         total += n
 
 
-def test_split_equals_ranking_all_digests(spark):
-    data = [(i, int(i % 3 == 0)) for i in range(1001)]
+@pytest.mark.parametrize("size, train", [(1001, 0.8), (10, 0.7), (3, 0.2), (300, 1.0)])
+def test_split_equals_ranking_all_digests(spark, size, train):
+    data = [(i, None if i % 7 == 0 else int(i % 3 == 0)) for i in range(size)]
     df = spark.createDataFrame(data, "id int, y int")
     got = {r["id"]: r["part"] for r in
-           stratified_split(df.repartition(5), "y", ["id"], seed=42).collect()}
-    for label in (0, 1):
+           stratified_split(df.repartition(5), "y", ["id"], train, seed=42).collect()}
+    for label in (0, 1, None):
         ids = [i for i, y in data if y == label]
         ids.sort(key=lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest())
-        cut = 0.8 * len(ids)
+        cut = round(train * len(ids), 6)
         for rank, i in enumerate(ids, 1):
             assert got[i] == ("train" if rank <= cut else "test")
     assert len(got) == len(data)
+
+
+def test_split_shuffles_counts_not_rows(spark, given):
+    from test_plans import plan
+
+    parts = stratified_split(given.table("order_grain"), "late_delivery_risk", ["order_id"])
+    text = plan(parts, "simple")
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
