@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctual.functions.scalar import ratio
 from punctual.functions.tails import chi_square_p, student_p
 from punctual.sources.warehouse import Warehouse
 
