@@ -27,7 +27,7 @@ COST_INDEX = {
 BUDGETS = [1.5, 2.0, 2.5, 3.0]
 
 STEPS_PER_WRITE = 5
-# From this many partial plans on, dominated ones are searched by cost range.
+# From this many partial plans of a scenario on, dominated ones are searched by cost range.
 WIDE_ROWS = 1_000_000
 COST_RANGES = 1024
 
@@ -165,7 +165,8 @@ def frontier(
         points = undominated(grown, scenario, wide)
         if wide or step % STEPS_PER_WRITE == 0 or step == last:
             points = materialize(points, "frontier")
-            wide = points.count() > wide_rows
+            sizes = points.groupBy(*scenario).agg(F.count("*").alias("n"))
+            wide = (sizes.agg(F.max("n")).first()[0] or 0) > wide_rows
     return points
 
 

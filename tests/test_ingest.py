@@ -103,6 +103,19 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_must_name_its_scratch_folder():
+    from types import SimpleNamespace
+
+    from punctual.session import scratch_root
+
+    cluster = SimpleNamespace(
+        sparkContext=SimpleNamespace(master="spark://host:7077"),
+        conf=SimpleNamespace(get=lambda key, default: default),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(cluster)
+
+
 def test_shuffles_grow_with_the_input_only(spark):
     from punctual.session import size_shuffles
 
