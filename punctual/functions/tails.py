@@ -7,11 +7,16 @@ per test), never on data rows.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# Executors need not have this package installed: the functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-15
 _TINY = 1e-300
 _STEPS = 100_000

@@ -62,3 +62,19 @@ def test_chi_square_tail(statistic, dof, p):
 ])
 def test_student_tail(t, dof, p):
     assert tails.student_two_sided(t, dof) == pytest.approx(p, abs=1e-6)
+
+
+def test_tails_travel_to_workers_without_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    payload = tmp_path / "function"
+    payload.write_bytes(cloudpickle.dumps(tails.student_two_sided))
+    code = (
+        "import pickle, sys; sys.modules['punctual'] = None; "
+        f"print(pickle.load(open({str(payload)!r}, 'rb'))(0.0, 5))"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip() == "1.0", done.stderr
