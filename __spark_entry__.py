@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from punctual import oracle, schema
 from punctual.operators.insert import insert_if_absent
 from punctual.operators.split import stratified_split

@@ -90,7 +90,8 @@ def avg_order_value_region_mode(house: Warehouse) -> DataFrame:
     )
     named = with_mode(with_region(keyed, house), house)
     summed = named.groupBy("order_region", "shipping_mode").agg(
-        F.sum("value").cast("decimal(28,6)").alias("value"), F.sum("n").alias("n")
+        # Digits for sums up to 10^21; the quotient then has 17 decimals to round.
+        F.sum("value").cast("decimal(30,9)").alias("value"), F.sum("n").alias("n")
     )
     average = rounded_ratio(F.col("value"), F.col("n"), 2)
     return summed.select(

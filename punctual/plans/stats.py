@@ -34,8 +34,7 @@ def named_orders(house: Warehouse) -> DataFrame:
 def order_features(house: Warehouse) -> DataFrame:
     """Input of the tests."""
     return named_orders(house).select(
-        "order_id", LABEL, "order_region", "shipping_mode",
-        F.col("total_sales").cast("decimal(28,2)").alias("total_sales"),
+        "order_id", LABEL, "order_region", "shipping_mode", "total_sales"
     )
 
 

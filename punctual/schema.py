@@ -8,6 +8,9 @@ TEXT = T.StringType()
 INT = T.IntegerType()
 LONG = T.LongType()
 DATE = T.DateType()
+# Amounts in the raw file are printed with up to nine decimals. 18 digits still fit a
+# 64-bit integer; currencies with amounts from 10^9 on need a wider type.
+AMOUNT = T.DecimalType(18, 9)
 
 # Column names of the published model.
 CUSTOMER_ATTRIBUTES = [
@@ -34,7 +37,7 @@ V_ORDERS = [
 
 
 def staging_schema(
-    item_key: T.DataType = LONG, amount: T.DataType = T.DecimalType(18, 6)
+    item_key: T.DataType = LONG, amount: T.DecimalType = AMOUNT
 ) -> T.StructType:
     """``stg_orders``: one row per order item, no keys.
 
@@ -66,7 +69,7 @@ STAGING_COLUMNS = staging_schema().fieldNames()
 
 
 def table_schemas(
-    item_key: T.DataType = LONG, amount: T.DecimalType = T.DecimalType(18, 6)
+    item_key: T.DataType = LONG, amount: T.DecimalType = AMOUNT
 ) -> dict[str, T.StructType]:
     """All tables of the model. ``order_grain`` holds the order view and item sums."""
     staging = staging_schema(item_key, amount)
