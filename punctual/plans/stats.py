@@ -152,13 +152,16 @@ def logit(
     distributed; its summary, one entry per term, is all the driver handles.
     """
     used = rows.select(label, *categorical, *[F.col(c).cast("double") for c in numeric])
-    formula = RFormula(
-        formula=f"{label} ~ {' + '.join([*categorical, *numeric])}",
-        stringIndexerOrderType="alphabetDesc",
-    )
     regression = GeneralizedLinearRegression(family="binomial", link="logit")
     clean = used.dropna().persist()
     try:
+        # A factor with one level is part of the intercept.
+        levels = clean.agg(*[(F.min(c) != F.max(c)).alias(c) for c in categorical]).first()
+        factors = [c for c in categorical if levels[c]]
+        formula = RFormula(
+            formula=f"{label} ~ {' + '.join([*factors, *numeric])}",
+            stringIndexerOrderType="alphabetDesc",
+        )
         fitted = Pipeline(stages=[formula, regression]).fit(clean)
         encoded = fitted.stages[0].transform(clean)
         model = fitted.stages[1]

@@ -134,6 +134,16 @@ def test_logit_solves_the_score_equations(spark):
     assert same_day["ci_low"] < same_day["coefficient"] < same_day["ci_high"]
 
 
+def test_logit_with_a_single_region(spark):
+    rng = random.Random(2)
+    rows = [(rng.randint(0, 1), rng.choice("ab"), "only", rng.random()) for _ in range(200)]
+    df = spark.createDataFrame(
+        rows, "late_delivery_risk int, shipping_mode string, order_region string, "
+              "total_sales double")
+    assert {r["term"] for r in stats.logit(df).collect()} == {
+        "shipping_mode_b", "total_sales", "Intercept"}
+
+
 def test_features_are_one_row_per_order(given):
     features = stats.order_features(given)
     assert features.count() == features.select("order_id").distinct().count()
