@@ -38,6 +38,16 @@ TREES = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The queries of the training-data operators, where that folder is present.
+EXTRA_QUERIES: dict[str, Query] = {}
+EXTRA_SQL: dict[str, str] = {}
+try:
+    from punctual.llm import registry as _llm
+except ImportError:
+    pass
+else:
+    EXTRA_QUERIES, EXTRA_SQL = _llm.QUERIES, _llm.SQL
+
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -266,9 +276,12 @@ def queries() -> dict[str, Query]:
     def over_model(query: Callable[[Warehouse], DataFrame]) -> Query:
         return lambda spark, folder: query(warehouse_for(spark, folder))
 
-    return {**{k: over_model(q) for k, q in MODEL_QUERIES.items()}, **TABLE_QUERIES}
+    return {
+        **{k: over_model(q) for k, q in MODEL_QUERIES.items()}, **TABLE_QUERIES,
+        **EXTRA_QUERIES,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for every query whose result SQL can state."""
-    return dict(oracle.STATEMENTS)
+    return {**oracle.STATEMENTS, **EXTRA_SQL}
