@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of text that are held as 64-bit arrays at a time. A longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 SEED = 20240229
 
 _BASE = 0x9E3779B97F4A7C15 | 3
