@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import minhash
+from punctual.llm import minhash, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +23,20 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.selection(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_minhash": op3_minhash,
+    "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
 }
 
 SQL: dict[str, str] = {}
