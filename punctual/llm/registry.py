@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import minhash, mixing, quality
+from punctual.llm import lm, minhash, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(_table(spark, folder, "documents"))
+
+
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=3, percent=85)
 
@@ -34,6 +38,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_lm": op2_lm,
     "op3_minhash": op3_minhash,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
