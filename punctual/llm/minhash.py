@@ -5,11 +5,11 @@ keeps its smallest hash (one-permutation hashing). An empty bin takes the value
 filled one that is first in a random order of its own (densification with a hash per
 bin). Runs of bins are the bands, and equal bands are a bucket.
 
-A bucket proposes one edge per member, to its smallest member, and not all pairs. Every
-edge is confirmed on the full sets. What a star could miss is then looked for: a bucket
-whose members are still in several components gets further stars, and at last the
-members outside its main component are compared with all other components in it. So a
-link between two members of a bucket is lost only if they are connected anyway.
+A bucket proposes one edge per member, to its centre, and not all pairs. Every edge is
+confirmed on the full sets. What a star could miss is then looked for: where a bucket
+still holds several components, the classes outside its main component are compared with
+those that share an early member of the set, ranked from rare to frequent; this filter is
+exact. So two members of a bucket that are linked always end up connected.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,11 +31,6 @@ from punctual.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BANDS = 40
-# Buckets in which every member was compared with a star centre this many times are
-# finished by direct comparisons.
-MOST_STARS = 3
-# Direct comparisons are made at once when they are at most this many per member.
-DIRECT_PER_MEMBER = 4
 
 SIGNATURE = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -149,117 +144,132 @@ def _list_sets(size: int):
     return run
 
 
-class _Links:
-    """Confirms proposed pairs of classes on their full sets."""
-
-    def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
-        self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
-        self.tested: DataFrame | None = None
-
-    def _fit(self, least: Column, union: Column) -> Column:
-        return 100 * least >= self.percent * union
-
-    def _sized(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose set sizes allow a link; the sizes alone rule out the others."""
-        sizes = self.classes.select("class_id", "n_shingles")
-        for side in ("a", "b"):
-            pairs = pairs.join(sizes.select(
-                F.col("class_id").alias(side), F.col("n_shingles").alias(f"n_{side}")
-            ), side)
-        return pairs.filter(self._fit(F.least("n_a", "n_b"), F.greatest("n_a", "n_b")))
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs(a, b)``, a < b. Pairs tested before are left out."""
-        fresh = pairs.filter("a < b").distinct()
-        if self.tested is not None:
-            fresh = fresh.join(self.tested, ["a", "b"], "left_anti")
-        fresh = materialize(self._sized(fresh), "pairs")
-        ids = fresh.select("a", "b")
-        self.tested = ids if self.tested is None else self.tested.unionByName(ids)
-        wanted = fresh.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-        wanted = materialize(
-            self.classes.join(wanted, "class_id").select("class_id", "set_key", "source"),
-            "wanted",
-        )
-        one = wanted.select("source.*")
-        texts = self.docs.join(
-            one,
-            (self.docs.text_key == one.text_key) & self.docs.doc_id.eqNullSafe(one.doc_id),
-            "left_semi",
-        ).select("text")
-        # Repeated rows give a set more than once.
-        sets = texts.mapInArrow(_list_sets(self.size), SET).dropDuplicates(["set_key"])
-        sets = materialize(
-            wanted.join(sets, "set_key").select("class_id", "shingles"), "sets"
-        )
-        for side in ("a", "b"):
-            fresh = fresh.join(sets.select(
-                F.col("class_id").alias(side), F.col("shingles").alias(f"s_{side}")
-            ), side)
-        shared = F.size(F.array_intersect("s_a", "s_b")).cast("long")
-        links = fresh.select("a", "b", "n_a", "n_b", shared.alias("shared"))
-        return materialize(
-            links.filter(self._fit(F.col("shared"), F.col("n_a") + F.col("n_b") - F.col("shared")))
-            .select("a", "b"), "confirmed",
-        )
-
-
-def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
-    return members.join(
-        roots.withColumnRenamed("node", "class_id"), "class_id", "left"
-    ).select("bucket", "class_id", F.coalesce("root", "class_id").alias("root"))
+def _enough(least: Column, union: Column, percent: int) -> Column:
+    return 100 * least >= percent * union
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links among ``pairs(a, b, n_a, n_b)``, by their full sets."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(
+            F.col("class_id").alias(side), F.col("shingles").alias(f"s_{side}")
+        ), side)
+    shared = F.size(F.array_intersect("s_a", "s_b")).cast("long")
+    links = pairs.select("a", "b", "n_a", "n_b", shared.alias("shared"))
+    union = F.col("n_a") + F.col("n_b") - F.col("shared")
+    return materialize(
+        links.filter(_enough(F.col("shared"), union, percent)).select("a", "b"), "confirmed"
+    )
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """One pair per member of a bucket, with the bucket's centre.
+
+    The centre is the member that meets most others in all its buckets: in a group of
+    copies of one text with changes of their own, that is the least changed one.
+    """
+    meets = members.groupBy("class_id").agg(F.sum("n").alias("meets")).select(
+        "class_id",
+        (F.col("meets") * 4096 + F.pmod(F.xxhash64("class_id"), F.lit(4096))).alias("meets"),
+    )
+    weighed = materialize(members.join(meets, "class_id"), "weighed")
+    centres = weighed.groupBy("bucket").agg(F.max_by("class_id", "meets").alias("centre"))
+    return members.select("bucket", "class_id").join(centres, "bucket").select(
+        F.least("centre", "class_id").alias("a"), F.greatest("centre", "class_id").alias("b")
+    )
+
+
+def _sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs whose set sizes allow a link."""
+    pairs = pairs.filter("a < b").distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(
+            F.col("class_id").alias(side), F.col("n_shingles").alias(f"n_{side}")
+        ), side)
+    return pairs.filter(
+        _enough(F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), percent)
+    ).select("a", "b", "n_a", "n_b")
 
 
-def _split_buckets(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with roots, and for buckets of several components their main one."""
-    rooted = materialize(_rooted(members, links), "rooted")
+def _left_open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes of buckets that still hold several components.
+
+    ``root`` is the component, ``outside`` whether the class is outside the largest
+    component of one of its buckets. Of two classes that share a bucket and are not
+    connected, one at least is outside.
+    """
+    roots = components(links).withColumnRenamed("node", "class_id")
+    rooted = materialize(members.join(roots, "class_id", "left").select(
+        "bucket", "class_id", F.coalesce("root", "class_id").alias("root")
+    ), "rooted")
     parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     main = parts.groupBy("bucket").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("n"),
-        F.max(F.struct("n", "root")).alias("most"),
-    ).filter("parts > 1")
-    return rooted, materialize(main.select(
-        "bucket", "n", F.col("most.root").alias("main"),
-        (F.col("n") - F.col("most.n")).alias("outside"),
+        F.count("*").alias("parts"), F.max_by("root", "n").alias("main")
+    ).filter("parts > 1").drop("parts")
+    return materialize(rooted.join(main, "bucket").groupBy("class_id", "root").agg(
+        F.max(F.col("root") != F.col("main")).alias("outside")
     ), "open")
 
 
-def _class_links(classes: DataFrame, links: _Links) -> DataFrame:
-    """All links that connect classes which share a bucket."""
+def _prefix_pairs(left_open: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of open classes, one of them outside, that can still reach the similarity.
+
+    Members of a set are ranked from rare to frequent. Two sets that share enough have
+    their first common member early in both: what follows it must suffice for the
+    overlap that the two sizes ask for. No pair that can be a link is left out.
+    """
+    listed = sets.join(left_open, "class_id").select(
+        "class_id", "root", "outside", F.size("shingles").cast("long").alias("n"),
+        F.explode("shingles").alias("member"),
+    )
+    often = listed.groupBy("member").agg(F.count("*").alias("often")).filter("often > 1")
+    # A member of one set only has no partner, but keeps its early rank.
+    ranked = listed.join(often, "member", "left").withColumn("at", F.row_number().over(
+        Window.partitionBy("class_id").orderBy(F.coalesce("often", F.lit(1)), "member")
+    ))
+    early = ranked.filter(
+        F.col("often").isNotNull() & _enough(F.col("n") - F.col("at") + 1, F.col("n"), percent)
+    )
+    early = materialize(early.select("class_id", "root", "outside", "n", "member", "at"), "early")
+    one, two = early.filter("outside").alias("x"), early.alias("y")
+    n_x, n_y = F.col("x.n"), F.col("y.n")
+    shared = F.least(n_x - F.col("x.at"), n_y - F.col("y.at")) + 1
+    met = one.join(two, (F.col("x.member") == F.col("y.member"))
+                   & (F.col("x.root") != F.col("y.root"))
+                   & _enough(F.least(n_x, n_y), F.greatest(n_x, n_y), percent)
+                   & _enough(shared, n_x + n_y - shared, percent))
+    return met.select(
+        F.least("x.class_id", "y.class_id").alias("a"),
+        F.greatest("x.class_id", "y.class_id").alias("b"),
+    )
+
+
+def _class_links(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links that connect all linked classes which share a bucket."""
     banded = classes.select("class_id", F.explode(F.array_distinct("bands")).alias("bucket"))
-    stars = banded.groupBy("bucket").agg(
-        F.min("class_id").alias("centre"), F.count("*").alias("n")
-    ).filter("n > 1")
-    members = materialize(banded.join(stars, "bucket"), "members")
-    found = links.confirm(members.select(F.col("centre").alias("a"), F.col("class_id").alias("b")))
+    counts = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = materialize(banded.join(counts, "bucket"), "members")
+    wanted = materialize(
+        classes.join(members.select("class_id").distinct(), "class_id").select(
+            "class_id", "set_key", "source"
+        ), "wanted",
+    )
+    one = wanted.select("source.*")
+    texts = docs.join(
+        one, (docs.text_key == one.text_key) & docs.doc_id.eqNullSafe(one.doc_id), "left_semi"
+    ).select("text")
+    # Repeated rows give a set more than once.
+    sets = texts.mapInArrow(_list_sets(size), SET).dropDuplicates(["set_key"])
+    sets = materialize(
+        wanted.join(sets, "set_key").select("class_id", "shingles"), "sets"
+    )
+    stars = materialize(_sized(_stars(members), classes, percent), "stars")
+    found = _confirm(stars, sets, percent)
     # The star of a bucket of two was its only pair.
-    members = members.filter("n > 2").select("bucket", "class_id")
-    for step in range(MOST_STARS + 1):
-        rooted, open_buckets = _split_buckets(members, found)
-        cost, rows = open_buckets.agg(
-            F.coalesce(F.sum(F.col("outside") * F.col("n")), F.lit(0)),
-            F.coalesce(F.sum("n"), F.lit(0)),
-        ).first()
-        if not cost:
-            break
-        around = rooted.join(open_buckets, "bucket")
-        outside = around.filter("root <> main")
-        last = step == MOST_STARS or cost <= DIRECT_PER_MEMBER * rows
-        if not last:
-            # The next centre is the smallest member outside the main component.
-            outside = outside.groupBy("bucket").agg(
-                F.min(F.struct("class_id", "root")).alias("one")
-            ).select("bucket", "one.*")
-        pairs = outside.select("bucket", F.col("class_id").alias("x"), F.col("root").alias("rx")).join(
-            around.select("bucket", F.col("class_id").alias("y"), F.col("root").alias("ry")),
-            "bucket",
-        ).filter("rx <> ry")
-        more = links.confirm(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-        found = found.unionByName(more)
-        if last:
-            break
-    return found
+    left_open = _left_open(members.filter("n > 2"), found)
+    more = _sized(_prefix_pairs(left_open, sets, percent), classes, percent)
+    more = materialize(more.join(stars, ["a", "b"], "left_anti"), "more")
+    return found.unionByName(_confirm(more, sets, percent))
 
 
 def near_duplicates(
@@ -297,8 +307,7 @@ def near_duplicates(
         materialize(grouped, "grouped").withColumn("class_id", F.monotonically_increasing_id()),
         "classes",
     )
-    links = _Links(classes, keyed, size, percent)
-    roots = components(_class_links(classes, links))
+    roots = components(_class_links(classes, keyed, size, percent))
     member = classes.select("class_id", "set_key", "least_id").join(
         roots.withColumnRenamed("node", "class_id"), "class_id", "left"
     ).withColumn("root", F.coalesce("root", "class_id"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import lm, minhash, mixing, quality
+from punctual.llm import binary_codes, lm, minhash, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op4_binary_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return binary_codes.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
@@ -40,6 +44,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_lm": op2_lm,
     "op3_minhash": op3_minhash,
+    "op4_binary_codes": op4_binary_codes,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
 }
