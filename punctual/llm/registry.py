@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import binary_codes, lm, minhash, mixing, quality
+from punctual.llm import binary_codes, lm, minhash, mixing, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,12 +41,17 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_lm": op2_lm,
     "op3_minhash": op3_minhash,
     "op4_binary_codes": op4_binary_codes,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_packing": op7_packing,
 }
 
 SQL: dict[str, str] = {}
