@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from punctual.llm import binary_codes, lm, minhash, mixing, packing, quality
+from punctual.llm import (
+    binary_codes, lines, lm, minhash, mixing, packing, projections, quality, secret_scan,
+)
+from punctual.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +49,24 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op9_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return projections.nearest(
+        _table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20
+    )
+
+
+def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "text"
+    )
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """The first scan of a new ledger, so every text of the table is read."""
+    ledger = secret_scan.Ledger(spark, scratch_path(spark, "ledger"))
+    return secret_scan.scan_documents(_table(spark, folder, "documents"), ledger).drop("blob")
+
+
 QUERIES: dict[str, Query] = {
     "op2_lm": op2_lm,
     "op3_minhash": op3_minhash,
@@ -52,6 +74,9 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_lines": op8_lines,
+    "op9_projections": op9_projections,
+    "op10_secrets": op10_secrets,
 }
 
 SQL: dict[str, str] = {}
