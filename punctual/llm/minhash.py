@@ -31,6 +31,7 @@ from punctual.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BANDS = 40
+WORD_BYTE = r"[^\x20\x09-\x0D]"
 
 SIGNATURE = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -272,6 +273,37 @@ def _class_links(classes: DataFrame, docs: DataFrame, size: int, percent: int) -
     return found.unionByName(_confirm(more, sets, percent))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
+        F.xxhash64(text).alias("text_key"),
+    )
+
+
+def _rooted_rows(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and ``(set_key, root, component_id)`` of all sets."""
+    keyed = _keyed(docs)
+    rows = rows_per_band(percent / 100)
+    signed = materialize(keyed.mapInArrow(_sign(size, rows), SIGNATURE), "signatures")
+    grouped = signed.filter("n_shingles > 0").groupBy("set_key").agg(
+        F.min("doc_id").alias("least_id"),
+        F.min(F.struct("text_key", "doc_id")).alias("source"),
+        F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+    )
+    classes = materialize(
+        materialize(grouped, "grouped").withColumn("class_id", F.monotonically_increasing_id()),
+        "classes",
+    )
+    roots = components(_class_links(classes, keyed, size, percent))
+    member = classes.select("class_id", "set_key", "least_id").join(
+        roots.withColumnRenamed("node", "class_id"), "class_id", "left"
+    ).withColumn("root", F.coalesce("root", "class_id"))
+    named = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    labels = materialize(member.select("set_key", "root").join(named, "root"), "labels")
+    return signed, labels
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
@@ -292,30 +324,7 @@ def near_duplicates(
     kept only if its component has no other id. An empty table gives an empty result;
     further columns are ignored.
     """
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
-    )
-    rows = rows_per_band(percent / 100)
-    signed = materialize(keyed.mapInArrow(_sign(size, rows), SIGNATURE), "signatures")
-    grouped = signed.filter("n_shingles > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("least_id"),
-        F.min(F.struct("text_key", "doc_id")).alias("source"),
-        F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-    )
-    classes = materialize(
-        materialize(grouped, "grouped").withColumn("class_id", F.monotonically_increasing_id()),
-        "classes",
-    )
-    roots = components(_class_links(classes, keyed, size, percent))
-    member = classes.select("class_id", "set_key", "least_id").join(
-        roots.withColumnRenamed("node", "class_id"), "class_id", "left"
-    ).withColumn("root", F.coalesce("root", "class_id"))
-    named = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    labels = materialize(
-        member.select("set_key", "root").join(named, "root").select("set_key", "component_id"),
-        "labels",
-    )
+    signed, labels = _rooted_rows(docs, size, percent)
     filled = signed.filter("n_shingles > 0").join(labels, "set_key").select(
         "doc_id", "n_shingles", "component_id"
     )
@@ -325,3 +334,38 @@ def near_duplicates(
     return filled.unionByName(empty).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with all its columns, one row per component of near duplicates.
+
+    The row with the smallest ``doc_id`` stays (a null id is the last); among rows with
+    that id the one with the smallest text hash, and of equal rows one. Null and blank
+    texts are nobody's duplicates and all stay. Only ids and hashes are shuffled to find
+    the rows; texts move once, to meet the list of those that go.
+    """
+    signed, labels = _rooted_rows(docs, size, percent)
+    order = F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"),
+        F.col("text_key").alias("text_key"),
+    )
+    first = signed.filter("n_shingles > 0").join(labels, "set_key").groupBy("root").agg(
+        F.min(order).alias("first")
+    )
+    pair = F.xxhash64(F.lit(1), F.col("doc_id"), F.col("text_key"))
+    kept = materialize(
+        first.select("first.doc_id", "first.text_key").select("text_key", pair.alias("pair_key")),
+        "kept",
+    )
+    held = docs.select(
+        F.struct("*").alias("row"), F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+    ).withColumn("pair_key", pair)
+    worded = F.coalesce(F.col("text").rlike(WORD_BYTE), F.lit(False))
+    blank = held.filter(~worded).select("row.*")
+    # Equal rows meet in their task first; what is left is joined where it already is.
+    single = held.filter(worded).select("row", "text_key", "pair_key").dropDuplicates(
+        ["text_key", "pair_key"]
+    )
+    return single.join(kept, ["text_key", "pair_key"], "left_semi").select("row.*").unionByName(blank)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm import (
-    binary_codes, lines, lm, minhash, mixing, packing, projections, quality, secret_scan,
+    binary_codes, lines, lm, minhash, mixing, packing, pii, projections, quality,
+    secret_scan,
 )
 from punctual.session import scratch_path
 
@@ -23,6 +24,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.with_surrogates(_table(spark, folder, "documents")).select(
+        "doc_id", "text", "n_entities", "kinds"
+    )
+
+
 def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scores(_table(spark, folder, "documents"))
 
@@ -68,6 +75,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_surrogates": op1_surrogates,
     "op2_lm": op2_lm,
     "op3_minhash": op3_minhash,
     "op4_binary_codes": op4_binary_codes,
