@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Sequence
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,15 +39,27 @@ TREES = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The queries of the training-data operators, where that folder is present.
+# Queries of the training-data operators and of their pipeline, where these are present.
 EXTRA_QUERIES: dict[str, Query] = {}
 EXTRA_SQL: dict[str, str] = {}
-try:
+
+
+def _present(module: str) -> bool:
+    try:
+        return find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+if _present("punctual.llm.registry"):
     from punctual.llm import registry as _llm
-except ImportError:
-    pass
-else:
-    EXTRA_QUERIES, EXTRA_SQL = _llm.QUERIES, _llm.SQL
+
+    EXTRA_QUERIES |= _llm.QUERIES
+    EXTRA_SQL |= _llm.SQL
+    if _present("corpus_pipeline"):
+        import corpus_pipeline as _pipeline
+
+        EXTRA_QUERIES["pipeline"] = _pipeline.run
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
