@@ -1,0 +1,67 @@
+import random
+
+from punctual.llm import lines
+
+from tests.llm.conftest import SMALL
+
+
+def expected(rows):
+    """Documents in order of id; keys are taken once per equal document."""
+    first, out = {}, {}
+    for doc_id, text in rows:
+        own = text.split("\n")
+        covered = set()
+        for at in range(len(own) - 2):
+            window = tuple(own[at : at + 3])
+            if first.setdefault(window, (doc_id, at)) != (doc_id, at):
+                covered |= {at, at + 1, at + 2}
+        left = "\n".join(x for at, x in enumerate(own) if at not in covered)
+        out[doc_id] = (len(own), len(covered), left)
+    return out
+
+
+def got(table):
+    return {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in table.collect()}
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    assert got(lines.dedup_lines(docs)) == expected(rows)
+
+
+def test_random_lines(documents):
+    rng = random.Random(6)
+    rows = [(i, "\n".join(rng.choices("abc", k=rng.randint(0, 12)))) for i in range(120)]
+    assert got(lines.dedup_lines(documents(rows))) == expected(rows)
+
+
+def test_a_removed_line_is_still_somewhere(documents):
+    rng = random.Random(7)
+    rows = [(i, "\n".join(rng.choices("abcd", k=9))) for i in range(80)]
+    left = {x for _, _, text in got(lines.dedup_lines(documents(rows))).values()
+            for x in text.split("\n")}
+    assert {x for _, text in rows for x in text.split("\n")} <= left
+
+
+def test_covered_positions_are_merged(documents):
+    rows = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\nd\ny"), (3, "a\nb\nq")]
+    out = got(lines.dedup_lines(documents(rows)))
+    assert out == {1: (4, 0, "a\nb\nc\nd"), 2: (6, 4, "x\ny"), 3: (3, 0, "a\nb\nq")}
+
+
+def test_odd_rows(documents, odd_rows):
+    docs = documents(odd_rows + [(None, "a\nb\nc", None), (30, "a\nb\nc", "src0"),
+                                 (30, "a\nb\nc", "src0")])
+    out = lines.dedup_lines(docs)
+    assert out.count() == len(odd_rows) + 3
+    assert out.columns[:5] == docs.columns[:5]
+    named = [r for r in out.collect() if r.text is not None and r.doc_id == 30]
+    assert [r.n_removed for r in named] == [0, 0]  # equal rows are one document
+    unnamed = [r for r in out.collect() if r.doc_id is None and r.n_lines == 3]
+    assert [(r.n_removed, r.text) for r in unnamed] == [(3, "")]  # a null id comes last
+    assert [r.n_lines for r in out.collect() if r.text is None] == [0, 0]
+
+
+def test_empty_table(documents):
+    assert lines.dedup_lines(documents([])).count() == 0

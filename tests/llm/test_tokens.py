@@ -1,0 +1,59 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+from punctual.llm.tokens import Tokenizer, shingles, text_chunks
+
+from tests.llm.conftest import words
+
+
+def hashed(texts, limit=200):
+    tokenizer, out = Tokenizer(), []
+    for row, stop, data, offsets in text_chunks(pa.array(texts, pa.string()), limit):
+        found = tokenizer.words(data, offsets)
+        runs, first = shingles(found, 3)
+        for i in range(stop - row):
+            out.append((
+                found.hashes[found.first[i] : found.first[i + 1]].tolist(),
+                runs[first[i] : first[i + 1]].tolist(),
+            ))
+    return out
+
+
+def test_equal_words_and_only_they_have_equal_hashes(odd_rows):
+    rng = random.Random(1)
+    texts = [t for _, t, *_ in odd_rows] + [
+        "".join(rng.choices("abAB \t\n\x0b\x0céß漢", k=rng.randint(0, 60))) for _ in range(300)
+    ]
+    seen, back = {}, {}
+    for text, (own, _) in zip(texts, hashed(texts)):
+        expected = words(text)
+        assert len(own) == len(expected)
+        for word, value in zip(expected, own):
+            assert seen.setdefault(word, value) == value
+            assert back.setdefault(value, word) == word
+
+
+def test_shingles_are_the_runs_of_words():
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(0, 9))) for _ in range(200)]
+    seen = {}
+    for text, (_, runs) in zip(texts, hashed(texts)):
+        own = words(text)
+        expected = (
+            [tuple(own[i : i + 3]) for i in range(len(own) - 2)] if len(own) > 2
+            else [tuple(own)] if own else []
+        )
+        assert len(runs) == len(expected)
+        for run, value in zip(expected, runs):
+            assert seen.setdefault(run, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_chunks_cover_sliced_arrays():
+    texts = pa.array(["aa", None, "b" * 500, "", "cc dd"]).slice(1)
+    rows = [(r, s, bytes(d)) for r, s, d, _ in text_chunks(texts, 10)]
+    assert b"".join(d for *_, d in rows) == b"b" * 500 + b"cc dd"
+    assert [r for r, *_ in rows] == [0] + [s for _, s, _ in rows][:-1]
+    assert rows[-1][1] == 4
+    assert np.all([s > r for r, s, _ in rows])
