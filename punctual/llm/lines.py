@@ -76,8 +76,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     removed = repeated_lines(slim)
     kept = [F.col(f"row.{c}").alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     held = docs.select(F.struct("*").alias("row"), F.xxhash64(text).alias("key"))
+    # Texts meet their list by a shuffle at every size, also where the list is still small.
     joined = held.join(
-        removed,
+        removed.hint("merge"),
         (held["key"] == removed["text_key"]) & held["row.doc_id"].eqNullSafe(removed["doc_id"]),
         "left",
     ).select("row", "removed")
