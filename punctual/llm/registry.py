@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from punctual.llm import (
     binary_codes, lines, lm, minhash, mixing, packing, pii, projections, quality,
-    secret_scan,
+    secret_scan, sql,
 )
 from punctual.session import scratch_path
 
@@ -87,4 +87,4 @@ QUERIES: dict[str, Query] = {
     "op10_secrets": op10_secrets,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = sql.STATEMENTS
