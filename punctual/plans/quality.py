@@ -94,12 +94,12 @@ def varying_fields(
 ) -> DataFrame:
     """One row per order, one flag per order-level field: do its items disagree?
 
-    A null among values counts as a disagreement.
+    A null among values counts as a disagreement. Values are compared by 64-bit hashes,
+    whose smallest and largest fit a hash aggregate; texts would make it sort the items.
     """
     def varies(c: str):
-        mixed_null = (F.count(c) > 0) & (F.count(c) < F.count("*"))
-        differs = F.coalesce(F.min(c) != F.max(c), F.lit(False))
-        return (differs | mixed_null).alias(c)
+        digest = F.xxhash64(F.col(c).isNull(), F.col(c))
+        return (F.min(digest) != F.max(digest)).alias(c)
 
     return items.groupBy(key).agg(*[varies(c) for c in fields])
 

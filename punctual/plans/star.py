@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual import schema
-from punctual.functions.scalar import weekday_name
+from punctual.functions.scalar import same_key, weekday_name
 from punctual.operators.keys import attach_key, drop_repeats, first_by, with_dense_id
+from punctual.session import materialize
 from punctual.sources.warehouse import Warehouse
 
 
@@ -114,21 +115,44 @@ def fact_order_items(
 def order_grain(fact: DataFrame) -> DataFrame:
     """One row per order: the first item's order-level fields, and item sums.
 
-    One aggregate gives everything that questions at order grain need, so the fact is
-    shuffled once, as one partial row per order and task.
+    Items are summed by order and order-level fields first, in a hash aggregate with
+    fixed-width buffers. In sound orders the fields agree, so that is one row per order
+    and nothing else is read. Only orders whose items disagree are looked up again, to
+    find the item with the smallest key.
     """
     fields = [c for c in schema.V_ORDERS if c != "order_id"] + [
         "days_for_shipping_real", "days_for_shipment_sched",
     ]
-    grouped = fact.groupBy("order_id").agg(
-        F.min(F.struct("order_item_id", *fields)).alias("_first"),
-        F.sum("sales").alias("total_sales"),
+    versions = materialize(order_versions(fact, fields), "versions")
+    per_order = versions.groupBy("order_id").agg(
+        F.count("*").alias("_versions"),
+        F.sum("_sales").cast(versions.schema["_sales"].dataType).alias("total_sales"),
         F.max("days_for_shipment_sched").alias("max_days_sched"),
     )
-    return grouped.select(
+    mixed = materialize(
+        per_order.filter("_versions > 1").select(F.col("order_id").alias("_mixed")), "mixed"
+    )
+    here = same_key([F.col("order_id")], [F.col("_mixed")], null_safe=True)
+    agreed = versions.join(mixed, here, "left_anti").select("order_id", *fields, "_sales")
+    sums = {"total_sales": F.col("_sales"), "max_days_sched": F.col("days_for_shipment_sched")}
+    one = agreed.select("order_id", *fields, *[v.alias(k) for k, v in sums.items()])
+    if mixed.isEmpty():
+        return one
+    first = fact.join(mixed, here, "left_semi").groupBy("order_id").agg(
+        F.min(F.struct("order_item_id", *fields)).alias("_first")
+    )
+    several = first.withColumnRenamed("order_id", "_mixed").join(
+        per_order.filter("_versions > 1"), here
+    )
+    return one.unionByName(several.select(
         "order_id", *[F.col(f"_first.{c}").alias(c) for c in fields],
         "total_sales", "max_days_sched",
-    )
+    ))
+
+
+def order_versions(fact: DataFrame, fields: list[str]) -> DataFrame:
+    """Sales by order and order-level fields."""
+    return fact.groupBy("order_id", *fields).agg(F.sum("sales").alias("_sales"))
 
 
 def v_orders(orders: DataFrame) -> DataFrame:

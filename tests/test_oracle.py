@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from punctual import oracle
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
@@ -13,7 +14,7 @@ TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
     "date": "DATE", "boolean": "BOOLEAN",
 }
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.STATEMENTS
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as registry
 from punctual.plans import diagnose as dg
-from punctual.plans import star
+from punctual.plans import quality, star
 from punctual.sources import retail
 
 FOLDER = "/root/testdata/sf0.001"
@@ -19,6 +19,9 @@ EAGER = {
 }
 
 
+NAMES = {**registry.MODEL_QUERIES, **registry.TABLE_QUERIES}
+
+
 def plan(df, mode="formatted"):
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
@@ -30,7 +33,7 @@ def read_schemas(df):
     return re.findall(r"ReadSchema: struct<([^\n]*)>", plan(df))
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(NAMES) - EAGER))
 def test_no_crossed_tables_and_no_row_functions(spark, name):
     text = plan(registry.queries()[name](spark, FOLDER), "simple")
     for bad in ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]:
@@ -50,10 +53,16 @@ def test_region_filter_reaches_the_scan(given):
 
 
 def test_orders_are_shuffled_once_as_partial_rows(given):
-    text = plan(star.order_grain(given.table("fact_order_items")), "simple")
+    fields = ["geography_id", "order_status", "payment_type"]
+    text = plan(star.order_versions(given.table("fact_order_items"), fields), "simple")
     assert text.count("Exchange hashpartitioning(order_id") == 1
     assert text.count("Exchange") == 1
-    assert "partial_min" in text and "partial_sum" in text
+    assert "partial_sum" in text and "SortAggregate" not in text
+
+
+def test_the_constancy_check_does_not_sort_the_fact(given):
+    text = plan(quality.varying_fields(given.table("fact_order_items")), "simple")
+    assert text.count("Exchange") == 1 and "SortAggregate" not in text
 
 
 def test_counting_comes_before_the_dimension_joins(given):

@@ -8,10 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from punctual import oracle
 from test_oracle import FOLDER, TABLES, comparable
 
-SLOW = {"csv_ingest", "allocation_sweep", "allocation_plan", "pr_auc", "pr_curve"}
-NAMES = sorted(set(registry.oracle_sql()) - SLOW)
+NAMES = sorted(oracle.STATEMENTS)
 
 
 @pytest.fixture(scope="module")
