@@ -29,13 +29,12 @@ from punctual.sources.warehouse import Warehouse
 from punctual.streaming import incremental
 
 # Order totals of the given tables are about a thousand times those of the reference
-# data, so the value limits are scaled. Tree counts of the registered queries are small.
+# data, so the value limits are scaled.
 VALUE_LIMITS = [100_000, 200_000, 300_000]
 BUDGETS = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0]
 SWEEP = [tenths / 10 for tenths in range(10, 41)]
 REGIONS = ["NATION_0", "NATION_7", "NATION_13"]
 LOADED_BEFORE = "1996-01-01"
-TREES = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,16 +115,23 @@ def _grown_customers(house: Warehouse) -> DataFrame:
 
 
 def _streamed(house: Warehouse) -> DataFrame:
-    """Late rates of a warehouse that was filled from staging files by a stream."""
+    """Orders of a warehouse that streams filled in two parts, with a restart between.
+
+    Half of the items of every order come in either part.
+    """
     spark = house.spark
     layouts = schema.table_schemas(schema.TEXT, retail.MONEY)
-    target = incremental.empty_warehouse(spark, scratch_path(spark, "streamed"), layouts)
-    incremental.stream_into(
-        target, house.path("stg_orders"), layouts["stg_orders"],
-        scratch_path(spark, "progress"),
-    ).awaitTermination()
-    incremental.refresh_orders(target)
-    return dg.late_rate_region_mode(target)
+    root, files, progress = (scratch_path(spark, n) for n in ("streamed", "files", "progress"))
+    incremental.empty_warehouse(spark, root, layouts)
+    staged = house.table("stg_orders")
+    half = F.pmod(F.xxhash64("order_item_id"), F.lit(2))
+    for part in range(2):
+        staged.filter(half == part).write.mode("append").parquet(files)
+        target = Warehouse.open(spark, root)
+        incremental.stream_into(
+            target, files, layouts["stg_orders"], progress
+        ).awaitTermination()
+    return ml.training_features(incremental.refresh_orders(Warehouse.open(spark, root)))
 
 
 def _from_csv(house: Warehouse) -> DataFrame:
@@ -171,14 +177,14 @@ def _scored(house: Warehouse) -> DataFrame:
     """Orders scored by a model that was fitted, saved and loaded again."""
     path = scratch_path(house.spark, "model")
     features = materialize(ml.training_features(house), "features")
-    ml.train_final(features, path, trees=TREES)
+    ml.train_final(features, path)
     model = ml.load_model(path)
     return ml.with_band(ml.score(model, features)).select("order_id", "score", "risk_band")
 
 
 def _held_out(model: str) -> Callable[[Warehouse], DataFrame]:
     return lambda house: ml.held_out_quality(
-        ml.training_features(house), versions=["A"], models=[model], trees=TREES
+        ml.training_features(house), versions=["A"], models=[model]
     )
 
 
@@ -263,9 +269,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "allocation_per_market": _by_market_and_region,
     "logistic_metrics": _held_out("logistic"),
     "gbt_metrics": _held_out("gbt"),
-    "model_comparison": lambda w: ml.held_out_quality(
-        ml.training_features(w), trees=TREES
-    ),
+    "model_comparison": lambda w: ml.held_out_quality(ml.training_features(w)),
     "score_orders": _scored,
 }
 

@@ -464,8 +464,7 @@ FROM (SELECT l_orderkey, count(DISTINCT l_returnflag) AS flags,
         count(DISTINCT l_linestatus) AS statuses FROM lineitem GROUP BY 1)""",
     "insert_if_absent_customer": _dims("""SELECT customer_id, customer_segment, customer_city,
   customer_state, customer_country FROM dim_customer"""),
-    "incremental_load": _orders(f"""SELECT order_region, shipping_mode, count(*) AS n_orders,
-  {LATE} AS late_rate FROM v GROUP BY 1, 2"""),
+    "incremental_load": _orders(_FEATURES),
     "order_features": _orders("""SELECT v.order_id, v.late_delivery_risk,
   v.order_region, v.shipping_mode, CAST(t.total_sales AS DECIMAL(28,2)) AS total_sales
 FROM v JOIN totals t USING (order_id)"""),

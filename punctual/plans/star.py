@@ -163,7 +163,7 @@ def v_orders(orders: DataFrame) -> DataFrame:
 def register_views(house: Warehouse, prefix: str = "") -> None:
     """Temporary views, so that SQL text can name the tables and the order view."""
     for name in schema.table_schemas():
-        if name != "order_grain":
+        if name not in ("order_grain", schema.TOUCHED):
             house.table(name).createOrReplaceTempView(prefix + name)
     v_orders(house.table("order_grain")).createOrReplaceTempView(prefix + "v_orders")
 
@@ -185,4 +185,5 @@ def build(
         house.table("dim_date"), null_safe,
     )
     house.write("order_grain", order_grain(house.write("fact_order_items", fact)))
+    house.write(schema.TOUCHED, spark.createDataFrame([], schema.table_schemas()[schema.TOUCHED]))
     return house.publish()

@@ -8,9 +8,11 @@ TEXT = T.StringType()
 INT = T.IntegerType()
 LONG = T.LongType()
 DATE = T.DateType()
-# Amounts in the raw file are printed with up to nine decimals. 18 digits still fit a
-# 64-bit integer; currencies with amounts from 10^9 on need a wider type.
-AMOUNT = T.DecimalType(18, 9)
+# The raw amounts have no declared precision, so the widest decimal takes them: twenty
+# digits before and eighteen after the point. Tables with declared amounts pass their own.
+AMOUNT = T.DecimalType(38, 18)
+
+TOUCHED = "touched_orders"
 
 # Column names of the published model.
 CUSTOMER_ATTRIBUTES = [
@@ -82,8 +84,8 @@ def table_schemas(
         "geography_id", "shipping_mode_id", "date_id", "order_date_id", "shipping_date_id",
     ]}
     days = {"full_date": DATE, "year": INT, "month": INT, "day": INT, "weekday": TEXT}
-    # A sum has ten more digits than its summands.
-    total = T.DecimalType(amount.precision + 10, amount.scale)
+    # A sum has ten more digits than its summands, where there are as many.
+    total = T.DecimalType(min(38, amount.precision + 10), amount.scale)
     return {
         "stg_orders": staging,
         "dim_customer": layout("customer_id", *CUSTOMER_ATTRIBUTES),
@@ -100,4 +102,6 @@ def table_schemas(
             *V_ORDERS, *DELIVERY[:2], "total_sales", "max_days_sched",
             **keys, total_sales=total, max_days_sched=INT,
         ),
+        # Orders with items that the order-grain table has not seen yet.
+        TOUCHED: layout("order_id"),
     }

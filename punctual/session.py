@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,9 +38,8 @@ def local_session(name: str, cores: str = "*", **extra: str) -> SparkSession:
     return spark
 
 
-# Compressed input per shuffle partition, and the most partitions a shuffle gets.
+# Compressed input per shuffle partition.
 BYTES_PER_PARTITION = 64 * 2**20
-MOST_PARTITIONS = 20_000
 # A join partition of this size and several times the median is split at hot keys.
 SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
@@ -47,22 +48,29 @@ SKEW = {
 }
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Suit the shuffles to the input.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Suit the shuffles to the input, for the jobs inside the block.
 
     The number of partitions is raised, never lowered: adaptive execution merges
     partitions that turn out small, but it does not split even ones that turn out
     large. Hot partitions are split earlier than by default, unless the session says
-    when.
+    when. The caller's settings are restored at the end.
     """
     key = "spark.sql.shuffle.partitions"
-    wanted = min(MOST_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
-    if wanted > int(spark.conf.get(key)):
-        spark.conf.set(key, str(wanted))
+    wanted = input_bytes // BYTES_PER_PARTITION
     chosen = {k for k, _ in spark.sparkContext.getConf().getAll()}
-    for key, value in SKEW.items():
-        if key not in chosen:
-            spark.conf.set(key, value)
+    settings = {k: v for k, v in SKEW.items() if k not in chosen}
+    if wanted > int(spark.conf.get(key)):
+        settings[key] = str(wanted)
+    before = {k: spark.conf.get(k) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from punctual.plans.star import build
-from punctual.session import scratch_path, size_shuffles
+from punctual.session import scratch_path, sized_shuffles
 from punctual.sources.retail import TABLES, read_tables, staging_from_tables
 from punctual.sources.warehouse import Warehouse
 
@@ -14,12 +14,16 @@ _built: dict[tuple, Warehouse] = {}
 
 
 def _content(spark: SparkSession, folder: str) -> tuple:
-    """Number, size and last change of the input files; lists them, reads nothing."""
+    """Path, size and last change of every input file; lists them, reads nothing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
         [f"{folder}/{t}.parquet" for t in TABLES]
     )
-    seen = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime")).first()
-    return tuple(seen)
+    listed = F.struct("path", "length", "modificationTime").cast("string")
+    seen = files.agg(
+        F.sum("length"), F.sum(F.xxhash64(listed).cast("decimal(38,0)")),
+        F.sum(F.xxhash64(F.lit(1), listed).cast("decimal(38,0)")), F.count("*"),
+    )
+    return tuple(seen.first())
 
 
 def warehouse_for(spark: SparkSession, folder: str) -> Warehouse:
@@ -30,7 +34,7 @@ def warehouse_for(spark: SparkSession, folder: str) -> Warehouse:
     content = _content(spark, folder)
     key = (spark.sparkContext.applicationId, folder, content)
     if key not in _built:
-        size_shuffles(spark, content[1])
-        staging = staging_from_tables(read_tables(spark, folder))
-        _built[key] = build(spark, staging, scratch_path(spark, "warehouse"))
+        with sized_shuffles(spark, content[0] or 0):
+            staging = staging_from_tables(read_tables(spark, folder))
+            _built[key] = build(spark, staging, scratch_path(spark, "warehouse"))
     return _built[key]

@@ -116,20 +116,15 @@ def test_a_cluster_must_name_its_scratch_folder():
         scratch_root(cluster)
 
 
-def test_shuffles_grow_with_the_input_only(spark):
-    from punctual.session import size_shuffles
+def test_shuffles_grow_with_the_input_and_only_inside_the_block(spark):
+    from punctual.session import sized_shuffles
 
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    try:
-        size_shuffles(spark, 2**20)
+    for size, partitions in [(2**20, int(before)), (100 * 2**30, 1600), (100 * 2**40, 1_638_400)]:
+        with sized_shuffles(spark, size):
+            assert int(spark.conf.get(key)) == partitions
         assert spark.conf.get(key) == before
-        size_shuffles(spark, 100 * 2**30)
-        assert int(spark.conf.get(key)) == 1600
-        size_shuffles(spark, 100 * 2**40)
-        assert int(spark.conf.get(key)) == 20_000
-    finally:
-        spark.conf.set(key, before)
 
 
 def test_profile_counts_values_by_column(spark, staging):

@@ -1,5 +1,7 @@
 import datetime
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,57 @@ def test_student_tail(t, dof, p):
     assert tails.student_two_sided(t, dof) == pytest.approx(p, abs=1e-6)
 
 
+@pytest.mark.parametrize("dof", [2, 20, 1000, 19_998, 20_002, 60_000])
+@pytest.mark.parametrize("shift", [-3, -0.5, 0, 0.01, 1, 4])
+def test_chi_square_tail_equals_the_closed_sum_of_even_dof(dof, shift):
+    x = dof + shift * math.sqrt(2 * dof)
+    if x <= 0:
+        return
+    logs = [-x / 2 + k * math.log(x / 2) - math.lgamma(k + 1) for k in range(dof // 2)]
+    assert tails.chi_square_tail(x, dof) == pytest.approx(
+        math.fsum(map(math.exp, logs)), rel=1e-9)
+
+
+@pytest.mark.parametrize("dof", [1e6, 1e8, 1e10, 1e12, 1e15])
+def test_chi_square_tail_at_its_mean(dof):
+    # Half plus the skewness term of the limit law.
+    expected = 0.5 - 1 / (3 * math.sqrt(math.pi * dof))
+    assert tails.chi_square_tail(dof, dof) == pytest.approx(expected, rel=1e-9)
+
+
+def student_by_parts(t, dof, steps=200_000):
+    """Simpson's rule over the angle whose tangent is t over the root of the dof."""
+    start, end = math.atan(t / math.sqrt(dof)), math.pi / 2
+    end = min(end, start + 60 / math.sqrt(dof))
+    width = (end - start) / steps
+    log_front = math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2) - 0.5 * math.log(math.pi)
+    weights = (1 if k in (0, steps) else 4 if k % 2 else 2 for k in range(steps + 1))
+    total = math.fsum(
+        w * math.exp((dof - 1) * math.log(math.cos(start + k * width)))
+        for k, w in enumerate(weights) if math.cos(start + k * width) > 0)
+    return 2 * math.exp(log_front) * total * width / 3
+
+
+@pytest.mark.parametrize("dof", [3.5, 300, 9_999, 10_001, 50_000])
+@pytest.mark.parametrize("t", [0.3, 1.96, 6.0])
+def test_student_tail_equals_the_integral(dof, t):
+    assert tails.student_two_sided(t, dof) == pytest.approx(student_by_parts(t, dof), rel=2e-8)
+
+
+@pytest.mark.parametrize("t", [0.5, 1.96, 5, 9])
+def test_student_tail_has_no_seam_and_becomes_normal(t):
+    below, above = (tails.student_two_sided(t, tails._LARGE * f) for f in (1 - 1e-12, 1))
+    assert below == pytest.approx(above, rel=1e-9)
+    for dof in (1e12, 1e14, 1e15):
+        normal = math.erfc(t / math.sqrt(2))
+        assert tails.student_two_sided(t, dof) == pytest.approx(normal, rel=1e-8)
+
+
+def test_a_fraction_that_does_not_settle_is_an_error():
+    with pytest.raises(ArithmeticError):
+        tails._continued_fraction(lambda n: n * n * 1e6, lambda n: 1.0 if n % 2 else -1.0)
+
+
 def test_tails_travel_to_workers_without_the_package(tmp_path):
     import subprocess
     import sys
