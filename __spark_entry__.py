@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from importlib.util import find_spec
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -35,6 +35,7 @@ BUDGETS = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0]
 SWEEP = [tenths / 10 for tenths in range(10, 41)]
 REGIONS = ["NATION_0", "NATION_7", "NATION_13"]
 LOADED_BEFORE = "1996-01-01"
+WORST_ITEMS = 2400
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,11 +107,15 @@ def _by_market_and_region(house: Warehouse) -> DataFrame:
 
 
 def _grown_customers(house: Warehouse) -> DataFrame:
-    """Customers of an earlier load, completed by those of all orders."""
+    """Customers of an earlier load, completed by those of all orders.
+
+    The earlier load knew other segments, so a row that is replaced shows.
+    """
     staged = house.table("stg_orders")
-    before = materialize(
-        star.dim_customer(staged.filter(F.col("order_date") < LOADED_BEFORE)), "customers"
-    )
+    earlier = star.dim_customer(staged.filter(F.col("order_date") < LOADED_BEFORE))
+    before = materialize(earlier.withColumn(
+        "customer_segment", F.concat(F.lit("formerly "), F.col("customer_segment"))
+    ), "customers")
     return insert_if_absent(star.dim_customer(staged), before, ["customer_id"])
 
 
@@ -134,12 +139,48 @@ def _streamed(house: Warehouse) -> DataFrame:
     return ml.training_features(incremental.refresh_orders(Warehouse.open(spark, root)))
 
 
+def _written_csv(house: Warehouse) -> str:
+    """Staging rows as the raw CSV; some names hold quotes, commas and line breaks."""
+    path = scratch_path(house.spark, "csv")
+    odd = F.concat(F.col("product_name"), F.lit('\n"odd", name'))
+    csv_files.write_csv(house.table("stg_orders").withColumn(
+        "product_name", F.when(F.col("order_id") % 10 == 0, odd).otherwise(F.col("product_name"))
+    ), path)
+    return path
+
+
 def _from_csv(house: Warehouse) -> DataFrame:
     """Staging rows written as the raw CSV and loaded again."""
-    path = scratch_path(house.spark, "csv")
-    csv_files.write_csv(house.table("stg_orders"), path)
     layout = schema.staging_schema(schema.TEXT, retail.MONEY)
-    return csv_files.load_csv(house.spark, path, schema=layout)
+    return csv_files.load_csv(house.spark, _written_csv(house), schema=layout)
+
+
+def _csv_report(house: Warehouse) -> DataFrame:
+    """What typing loses in a file with texts, long decimals and bad dates."""
+    raw = csv_files.read_csv(house.spark, _written_csv(house))
+    sales, day = (csv_files.HEADERS[c] for c in ("sales", "order_date"))
+    number = F.col(csv_files.HEADERS["order_id"]).cast("long")
+    spoiled = raw.withColumn(
+        sales, F.when(number % 7 == 0, "n/a").when(number % 7 == 1, "1.005").otherwise(F.col(sales))
+    ).withColumn(day, F.when(number % 5 == 0, "2018-01-31").otherwise(F.col(day)))
+    return csv_files.load_report(
+        spoiled, schema=schema.staging_schema(schema.TEXT, retail.MONEY)
+    )
+
+
+def _positions(sorted_rows: DataFrame) -> DataFrame:
+    """Number the rows of a sorted result as they come."""
+    placed = sorted_rows.withColumn("_at", F.monotonically_increasing_id())
+    return placed.withColumn(
+        "position", F.row_number().over(Window.orderBy("_at")).cast("bigint")
+    ).drop("_at")
+
+
+def _logit_mode(house: Warehouse) -> DataFrame:
+    fitted = stats.logit(stats.order_features(house), ["shipping_mode"], [])
+    return _rounded(fitted.select(
+        "term", "coefficient", "std_error", "log_likelihood", "null_log_likelihood", "pseudo_r2"
+    ), 4, "coefficient", "std_error", "log_likelihood", "null_log_likelihood", "pseudo_r2")
 
 
 def _split_counts(house: Warehouse) -> DataFrame:
@@ -170,7 +211,7 @@ def _test_p_values(house: Warehouse) -> DataFrame:
         for v in ["shipping_mode", "order_region"]
     ]
     value = stats.welch(orders).select(F.lit("total_sales").alias("variable"), "p_value")
-    return tests[0].unionByName(tests[1]).unionByName(value)
+    return _rounded(tests[0].unionByName(tests[1]).unionByName(value), 6, "p_value")
 
 
 def _scored(house: Warehouse) -> DataFrame:
@@ -193,6 +234,11 @@ def _line_keys(spark: SparkSession, folder: str) -> DataFrame:
     return dq.key_report(lines, ["l_orderkey", "l_linenumber"], "lineitem")
 
 
+def _orders_without_lines(spark: SparkSession, folder: str) -> DataFrame:
+    orders, lines = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("orders", "lineitem"))
+    return dq.reference_report(orders, "o_orderkey", lines, "l_orderkey", "o_orderkey")
+
+
 def _line_constancy(spark: SparkSession, folder: str) -> DataFrame:
     """The constancy check on columns that do vary within orders."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
@@ -215,7 +261,16 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_order_items": lambda w: w.table("fact_order_items"),
     "v_orders": lambda w: star.v_orders(w.table("order_grain")),
     "csv_ingest": _from_csv,
+    "csv_load_report": _csv_report,
     "late_rate_by_region": dg.late_rate_by_region,
+    "late_rate_by_region_in_order": lambda w: _positions(dg.late_rate_by_region(w)),
+    "late_rate_by_order_value_in_order": lambda w: _positions(
+        dg.late_rate_by_order_value(w, VALUE_LIMITS)
+    ),
+    "distinct_regions_in_order": lambda w: _positions(dg.distinct_regions(w)),
+    "worst_departments": lambda w: dg.worst_categories(
+        w, WORST_ITEMS, level="department_name"
+    ),
     "late_rate_by_mode": dg.late_rate_by_mode,
     "late_rate_region_mode": dg.late_rate_region_mode,
     "avg_order_value_region_mode": dg.avg_order_value_region_mode,
@@ -226,7 +281,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "late_rate_selected_regions": lambda w: dg.late_rate_selected_regions(w, REGIONS),
     "region_mode_stats": dg.region_mode_stats,
     "region_mode_table": lambda w: dg.region_mode_table(w, REGIONS),
-    "late_rate_pivot": lambda w: dg.late_rate_pivot(w, retail.MODES),
+    "late_rate_pivot": dg.late_rate_pivot,
     "overall_late_rate": dg.overall_late_rate,
     "distinct_regions": dg.distinct_regions,
     "distinct_modes": dg.distinct_modes,
@@ -242,6 +297,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "chi_square_region": _chi_square("order_region"),
     "welch_order_value": _welch,
     "test_p_values": _test_p_values,
+    "logit_mode": _logit_mode,
     "logit_coefficients": lambda w: stats.logit(stats.order_features(w)),
     "stratified_split_counts": _split_counts,
     "late_rate_shrunk": lambda w: _rounded(
@@ -279,6 +335,7 @@ TABLE_QUERIES: dict[str, Query] = {
         spark.read.parquet(f"{folder}/orders.parquet")
     ),
     "dq_line_keys": _line_keys,
+    "dq_orders_without_lines": _orders_without_lines,
     "dq_line_constancy": _line_constancy,
 }
 

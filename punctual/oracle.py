@@ -370,6 +370,22 @@ SELECT {name}budget, cost IS NOT NULL AS feasible, CAST(cost AS DOUBLE) AS total
   round(100 * late / baseline - 100, 6) AS delta_pct FROM best"""
 
 
+# Columns of the raw file, which are those of the staging table but the row number.
+_CSV_COLUMNS = [c for c in schema.STAGING_COLUMNS if c != "row_id"] + ["_malformed"]
+
+
+def _csv_losses(column: str) -> str:
+    """Sales have a text on every seventh order and a third decimal on the next one;
+    order dates of every fifth order have another format."""
+    present = {"sales": "count(*)", "order_date": "count(*) FILTER (order_date IS NOT NULL OR order_id % 5 = 0)",
+               "_malformed": "0"}.get(column, f"count({column})")
+    unparsed = {"sales": "count(*) FILTER (order_id % 7 = 0)",
+                "order_date": "count(*) FILTER (order_id % 5 = 0)"}.get(column, "0")
+    rounded = {"sales": "count(*) FILTER (order_id % 7 = 1)"}.get(column, "0")
+    return f"""SELECT '{column}' AS column_name, count(*) AS n_rows, CAST({present} AS BIGINT) AS n_present,
+  CAST({unparsed} AS BIGINT) AS n_unparsed, CAST({rounded} AS BIGINT) AS n_rounded FROM stg"""
+
+
 STATEMENTS: dict[str, str] = {
     "stg_orders": _stg("SELECT * FROM stg"),
     "dim_customer": _dims("SELECT * FROM dim_customer"),
@@ -380,7 +396,46 @@ STATEMENTS: dict[str, str] = {
     "fact_order_items": _fact("SELECT * FROM fact"),
     "v_orders": _fact(f"""SELECT {", ".join(f"one.{c}" for c in schema.V_ORDERS)}
 FROM (SELECT min_by(fact, order_item_id) AS one FROM fact GROUP BY order_id)"""),
-    "csv_ingest": _stg("SELECT * FROM stg"),
+    "csv_ingest": _stg("""SELECT * REPLACE (CASE WHEN order_id % 10 = 0
+  THEN product_name || chr(10) || '"odd", name' ELSE product_name END AS product_name) FROM stg"""),
+    "csv_load_report": _stg("\nUNION ALL ".join(_csv_losses(c) for c in _CSV_COLUMNS)),
+    "late_rate_by_region_in_order": _orders(f"""SELECT *, row_number() OVER (
+  ORDER BY late_rate DESC NULLS FIRST, order_region) AS position
+FROM (SELECT order_region, count(*) AS n_orders, {LATE} AS late_rate FROM v GROUP BY 1)"""),
+    "late_rate_by_order_value_in_order": _orders(f"""SELECT sales_bucket, n_orders, late_rate,
+  row_number() OVER (ORDER BY smallest) AS position
+FROM (SELECT CASE WHEN total_sales < 100000 THEN '<100000'
+  WHEN total_sales < 200000 THEN '100000-200000' WHEN total_sales < 300000 THEN '200000-300000'
+  ELSE '300000+' END AS sales_bucket, count(*) AS n_orders, {LATE} AS late_rate,
+  min(total_sales) AS smallest FROM v JOIN totals USING (order_id) GROUP BY 1)"""),
+    "distinct_regions_in_order": _stg("""SELECT order_region,
+  row_number() OVER (ORDER BY order_region NULLS LAST) AS position
+FROM (SELECT DISTINCT order_region FROM stg)"""),
+    "worst_departments": _stg(f"""SELECT department_name, count(*) AS n_order_items,
+  {LATE} AS late_rate FROM items WHERE product_card_id IS NOT NULL GROUP BY 1
+HAVING count(*) >= 2400 ORDER BY late_rate DESC, department_name LIMIT 10"""),
+    "dq_orders_without_lines": """SELECT 'o_orderkey' AS foreign_key, count(*) AS n_rows,
+  CAST(count(*) FILTER (o_orderkey IS NULL) AS BIGINT) AS n_null,
+  CAST(count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS BIGINT) AS n_orphans
+FROM orders""",
+    "logit_mode": _orders("""SELECT term, round(coefficient, 4) AS coefficient,
+  round(std_error, 4) AS std_error, round(ll, 4) AS log_likelihood, round(ll0, 4) AS null_log_likelihood,
+  round(1 - ll / ll0, 4) AS pseudo_r2
+FROM (
+  -- One free parameter per mode: the fit is the observed rate of every mode.
+  WITH cell AS (
+    SELECT shipping_mode AS mode, CAST(sum(late_delivery_risk) AS DOUBLE) AS a,
+           CAST(sum(1 - late_delivery_risk) AS DOUBLE) AS b FROM v GROUP BY 1),
+  whole AS (
+    SELECT sum(a * ln(a / (a + b)) + b * ln(b / (a + b))) AS ll,
+      sum(a) * ln(sum(a) / sum(a + b)) + sum(b) * ln(sum(b) / sum(a + b)) AS ll0 FROM cell),
+  base AS (SELECT * FROM cell ORDER BY mode LIMIT 1)
+  SELECT 'Intercept' AS term, ln(a / b) AS coefficient, sqrt(1 / a + 1 / b) AS std_error, ll, ll0
+  FROM base, whole
+  UNION ALL
+  SELECT 'shipping_mode_' || c.mode, ln(c.a / c.b) - ln(base.a / base.b),
+    sqrt(1 / c.a + 1 / c.b + 1 / base.a + 1 / base.b), ll, ll0
+  FROM cell c, base, whole WHERE c.mode <> base.mode)"""),
     "late_rate_by_region": _orders(
         f"SELECT order_region, count(*) AS n_orders, {LATE} AS late_rate FROM v GROUP BY 1"
     ),
@@ -462,8 +517,10 @@ FROM (SELECT order_id FROM fact GROUP BY order_id HAVING count(DISTINCT {c}) > 1
   CAST(count(*) FILTER (statuses > 1) AS BIGINT) AS n_varying_linestatus
 FROM (SELECT l_orderkey, count(DISTINCT l_returnflag) AS flags,
         count(DISTINCT l_linestatus) AS statuses FROM lineitem GROUP BY 1)""",
-    "insert_if_absent_customer": _dims("""SELECT customer_id, customer_segment, customer_city,
-  customer_state, customer_country FROM dim_customer"""),
+    "insert_if_absent_customer": _dims("""SELECT customer_id, CASE WHEN customer_id IN (
+    SELECT customer_id FROM stg WHERE order_date < DATE '1996-01-01')
+  THEN 'formerly ' || customer_segment ELSE customer_segment END AS customer_segment,
+  customer_city, customer_state, customer_country FROM dim_customer"""),
     "incremental_load": _orders(_FEATURES),
     "order_features": _orders("""SELECT v.order_id, v.late_delivery_risk,
   v.order_region, v.shipping_mode, CAST(t.total_sales AS DECIMAL(28,2)) AS total_sales

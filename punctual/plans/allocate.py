@@ -26,9 +26,7 @@ COST_INDEX = {
 }
 BUDGETS = [1.5, 2.0, 2.5, 3.0]
 
-STEPS_PER_WRITE = 5
-# From this many partial plans of a scenario on, dominated ones are searched by cost range.
-WIDE_ROWS = 1_000_000
+# Cost ranges in which the partial plans of a scenario are compared side by side.
 COST_RANGES = 1024
 
 
@@ -84,30 +82,24 @@ def candidates(
     )
 
 
-def undominated(points: DataFrame, scenario: Sequence[str], wide: bool = False) -> DataFrame:
+def undominated(points: DataFrame, scenario: Sequence[str], top: Column) -> DataFrame:
     """Points with fewer late orders than every point that costs no more.
 
-    ``wide`` is for large sets: points are compared within cost ranges first, then
-    with the best of all cheaper ranges, so that no task sees a whole scenario. The
-    points are read twice and should be materialized.
+    Points are compared within ranges of the cost, up to ``top``, first, then with the
+    best of all cheaper ranges, so that no task sees a whole scenario. What is left of
+    the ranges is written.
     """
     def better_before(keys: Sequence[str], *order: str) -> Column:
         window = Window.partitionBy(*keys).orderBy(*order)
         return F.min("late").over(window.rowsBetween(Window.unboundedPreceding, -1))
 
-    def keep(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        marked = df.withColumn("_best", better_before(keys, "cost", "late", "plan"))
-        return marked.filter("_best is null or late < _best").drop("_best")
-
-    if not wide:
-        return keep(points, scenario)
-    top = points.groupBy(*scenario).agg(F.max("cost").alias("_top"))
-    share = F.coalesce(F.try_divide(F.col("cost"), F.col("_top")), F.lit(0.0))
-    ranged = points.join(top, list(scenario)).withColumn(
-        "_range", F.floor(share * (COST_RANGES - 1))
-    ).drop("_top")
+    share = F.coalesce(F.try_divide(F.col("cost"), top), F.lit(0.0))
+    within = F.least(F.floor(share * COST_RANGES), F.lit(COST_RANGES))
     keys = [*scenario, "_range"]
-    local = keep(ranged, keys)
+    marked = points.withColumn("_range", within).withColumn(
+        "_best", better_before(keys, "cost", "late", "plan")
+    )
+    local = materialize(marked.filter("_best is null or late < _best").drop("_best"), "local")
     minima = local.groupBy(*keys).agg(F.min("late").alias("late"))
     cheaper = minima.withColumn("_best", better_before(scenario, "_range")).drop("late")
     joined = local.join(cheaper, keys)
@@ -119,12 +111,13 @@ def frontier(
     region: str,
     scenario: Sequence[str],
     highest_budget: float | None = None,
-    wide_rows: int = WIDE_ROWS,
+    dearest: float = max(COST_INDEX.values()),
 ) -> DataFrame:
     """Undominated (cost, late, plan) totals over all regions of each scenario.
 
     Partial plans that cannot stay within the highest budget, even with the cheapest
-    modes from here on, are dropped as well; this loses no feasible plan.
+    modes from here on, are dropped as well; this loses no feasible plan. ``dearest`` is
+    the largest cost index, which bounds the cost of a plan.
     """
     choices = materialize(choices, "choices")
     last = choices.agg(F.max("step")).first()[0] or 0
@@ -133,16 +126,15 @@ def frontier(
         *scenario, "total_volume", F.lit(0.0).alias("cost"), F.lit(0.0).alias("late"),
         nothing.alias("plan"),
     )
-    wide = False
+    # A scenario with fewer regions passes through unchanged.
+    idle = F.array(F.struct(
+        F.lit(None).cast("string").alias("shipping_mode"),
+        F.lit(0.0).alias("cost"), F.lit(0.0).alias("late"),
+    ))
     for step in range(1, last + 1):
         here = choices.filter(F.col("step") == step).select(
             *scenario, region, "options", "cost_to_come"
         )
-        # A scenario with fewer regions passes through unchanged.
-        idle = F.array(F.struct(
-            F.lit(None).cast("string").alias("shipping_mode"),
-            F.lit(0.0).alias("cost"), F.lit(0.0).alias("late"),
-        ))
         grown = points.join(here, list(scenario), "left").withColumn(
             "_o", F.explode(F.coalesce("options", idle))
         )
@@ -160,14 +152,8 @@ def frontier(
             *scenario, "total_volume", (F.col("cost") + F.col("_o.cost")).alias("cost"),
             (F.col("late") + F.col("_o.late")).alias("late"), plan.alias("plan"),
         )
-        if wide:
-            grown = materialize(grown, "grown")
-        points = undominated(grown, scenario, wide)
-        if wide or step % STEPS_PER_WRITE == 0 or step == last:
-            points = materialize(points, "frontier")
-            sizes = points.groupBy(*scenario).agg(F.count("*").alias("n"))
-            wide = (sizes.agg(F.max("n")).first()[0] or 0) > wide_rows
-    return points
+        points = undominated(grown, scenario, F.col("total_volume") * dearest)
+    return materialize(points, "frontier")
 
 
 def allocate(
@@ -178,19 +164,23 @@ def allocate(
     scenario: Sequence[str] = (),
     cost_index: dict[str, float] | None = None,
     unobserved: str = "exclude",
-    wide_rows: int = WIDE_ROWS,
 ) -> DataFrame:
     """Best plan per scenario and budget.
 
     ``stats`` has scenario columns, region, shipping_mode, n_orders, late_rate and the
     ``rate`` column. A budget limits the mean cost index per order. A budget that no
     plan meets gives a row with ``feasible`` false and no plan.
+
+    A null in a scenario column is a value like any other. Orders without a region
+    cannot be assigned; they count in ``n_orders`` and in the baselines only.
     """
-    keys = list(scenario) or ["_scenario"]
-    rows = stats if scenario else stats.withColumn("_scenario", F.lit("all"))
-    rows = rows.filter(F.col(region).isNotNull())
-    choices = candidates(rows, rate, region, keys, cost_index or COST_INDEX, unobserved)
-    points = frontier(choices, region, keys, max(budgets), wide_rows)
+    # One text per scenario: nulls in its columns do not get lost in joins.
+    name = F.to_json(F.struct(*scenario)) if scenario else F.lit("all")
+    rows = materialize(stats.withColumn("_scenario", name), "cells")
+    keys, costs = ["_scenario"], cost_index or COST_INDEX
+    placed = rows.filter(F.col(region).isNotNull())
+    choices = candidates(placed, rate, region, keys, costs, unobserved)
+    points = frontier(choices, region, keys, max(budgets), max(costs.values()))
 
     each = F.explode(F.array(*[F.lit(float(b)) for b in budgets])).alias("budget")
     affordable = points.select("*", each).filter(
@@ -199,7 +189,7 @@ def allocate(
     best = affordable.groupBy(*keys, "budget").agg(
         F.min(F.struct("late", "cost", "plan")).alias("best")
     )
-    totals = rows.groupBy(*keys).agg(
+    totals = rows.groupBy(*keys, *scenario).agg(
         F.sum("n_orders").alias("n_orders"),
         F.sum(F.col("n_orders") * F.col("late_rate")).alias("baseline_late"),
         F.sum(F.col("n_orders") * F.col(rate)).alias("baseline_late_adjusted"),

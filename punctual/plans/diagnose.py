@@ -114,16 +114,14 @@ def late_rate_by_order_value(
 
 
 def worst_categories(
-    house: Warehouse, min_items: int = MIN_ITEMS, top: int = 10
+    house: Warehouse, min_items: int = MIN_ITEMS, top: int = 10, level: str = "category_name"
 ) -> DataFrame:
-    """Categories with the highest late rate, at item grain on purpose."""
+    """Categories, or departments, with the highest late rate, at item grain on purpose."""
     keyed = counts_by(house.table("fact_order_items"), "product_card_id")
-    products = house.table("dim_product").select("product_card_id", "category_name")
-    counts = regroup(keyed.join(products, "product_card_id"), "category_name")
-    rates = late_rates(
-        counts.filter(F.col("n") >= min_items), "category_name", n_name="n_order_items"
-    )
-    return rates.orderBy(F.desc_nulls_first("late_rate"), "category_name").limit(top)
+    products = house.table("dim_product").select("product_card_id", level)
+    counts = regroup(keyed.join(products, "product_card_id"), level)
+    rates = late_rates(counts.filter(F.col("n") >= min_items), level, n_name="n_order_items")
+    return rates.orderBy(F.desc_nulls_first("late_rate"), level).limit(top)
 
 
 def late_rate_by_ship_weekday(house: Warehouse) -> DataFrame:
@@ -179,11 +177,16 @@ def region_mode_table(house: Warehouse, regions: Sequence[str] = ()) -> DataFram
 
 
 def late_rate_pivot(
-    house: Warehouse, modes: Sequence[str], regions: Sequence[str] = ()
+    house: Warehouse, modes: Sequence[str] | None = None, regions: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per region, one rate column per mode."""
+    """One row per region, one rate column per mode.
+
+    Without ``modes`` all modes of the data have a column, which takes one more query;
+    a list chooses columns and fixes their order.
+    """
     stats = region_mode_stats(house).filter(in_list(F.col("order_region"), regions))
-    wide = stats.groupBy("order_region").pivot("shipping_mode", list(modes)).agg(
+    chosen = None if modes is None else list(modes)
+    wide = stats.groupBy("order_region").pivot("shipping_mode", chosen).agg(
         F.first("late_rate")
     )
     return wide.orderBy("order_region")

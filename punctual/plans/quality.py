@@ -66,27 +66,32 @@ def natural_keys(house: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def foreign_keys(house: Warehouse) -> DataFrame:
-    """Fact rows by foreign key: all, empty, and without a dimension row.
+def reference_report(
+    rows: DataFrame, column: str, referred: DataFrame, key: str, label: str
+) -> DataFrame:
+    """Rows by reference: all, empty, and without a row to refer to.
 
-    Fact rows are counted per key value before the join, so each key column is
-    shuffled as distinct values only.
+    Rows are counted per value before the join, so the column is shuffled as distinct
+    values only.
     """
-    fact = house.table("fact_order_items")
+    used = rows.groupBy(F.col(column).alias("_k")).agg(F.count("*").alias("n"))
+    there = referred.select(F.col(key).alias("_d")).distinct().withColumn("_hit", F.lit(True))
+    matched = used.join(there, F.col("_k") == F.col("_d"), "left")
+    orphan = F.col("_k").isNotNull() & F.col("_hit").isNull()
+    return matched.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("n_orphans"),
+    ).select(F.lit(label).alias("foreign_key"), "*")
 
-    def report(column: str, dim: str, key: str) -> DataFrame:
-        used = fact.groupBy(F.col(column).alias("_k")).agg(F.count("*").alias("n"))
-        there = house.table(dim).select(F.col(key).alias("_d"), F.lit(True).alias("_hit"))
-        matched = used.join(there, F.col("_k") == F.col("_d"), "left")
-        orphan = F.col("_k").isNotNull() & F.col("_hit").isNull()
-        return matched.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("n"))), F.lit(0))
-            .alias("n_null"),
-            F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("n_orphans"),
-        ).select(F.lit(column).alias("foreign_key"), "*")
-
-    return reduce(DataFrame.unionByName, [report(*f) for f in FOREIGN_KEYS])
+
+def foreign_keys(house: Warehouse) -> DataFrame:
+    """The references of the fact."""
+    fact = house.table("fact_order_items")
+    return reduce(DataFrame.unionByName, [
+        reference_report(fact, column, house.table(dim), key, column)
+        for column, dim, key in FOREIGN_KEYS
+    ])
 
 
 def varying_fields(

@@ -62,14 +62,12 @@ def test_largest_shifts(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("wide_rows", [al.WIDE_ROWS, 0])
-def test_plans_equal_brute_force(spark, monkeypatch, seed, wide_rows):
-    monkeypatch.setattr(al, "STEPS_PER_WRITE", 2)
+@pytest.mark.parametrize("ranges", [1, 7, 1024])
+def test_plans_equal_brute_force(spark, monkeypatch, seed, ranges):
+    monkeypatch.setattr(al, "COST_RANGES", ranges)
     rows = random_cells(5, seed)
     budgets = [0.9, 1.0, 1.3, 2.0, 2.7, 4.0]
-    got = al.allocate(
-        cells(spark, *rows), budgets, rate="late_rate", wide_rows=wide_rows
-    ).collect()
+    got = al.allocate(cells(spark, *rows), budgets, rate="late_rate").collect()
     volume = {r[0]: sum(x[2] for x in rows if x[0] == r[0]) for r in rows}
     for r in got:
         best = brute_force(rows, lambda n, rate: rate, r["budget"])
@@ -88,17 +86,21 @@ def test_plans_equal_brute_force(spark, monkeypatch, seed, wide_rows):
     assert late == sorted(late, reverse=True)
 
 
-def test_wide_and_narrow_search_agree(spark, monkeypatch):
-    monkeypatch.setattr(al, "STEPS_PER_WRITE", 3)
-    monkeypatch.setattr(al, "COST_RANGES", 7)
-    stats = cells(spark, *random_cells(9, 5))
-    choices = al.candidates(
-        stats.selectExpr("'all' as s", "*"), "late_rate", "order_region", ["s"],
-        al.COST_INDEX, "exclude")
-    narrow = al.frontier(choices, "order_region", ["s"])
-    wide = al.frontier(choices, "order_region", ["s"], wide_rows=0)
-    assert {(r["cost"], r["late"]) for r in narrow.collect()} == {
-        (r["cost"], r["late"]) for r in wide.collect()}
+def test_a_null_scenario_equals_its_named_twin(spark):
+    rows = random_cells(3, 21)
+    both = spark.createDataFrame(
+        [(None, *r) for r in rows] + [("x", *r) for r in rows], "month string, " + COLUMNS)
+    got = al.allocate(both, [1.5, 3.0], rate="late_rate", scenario=["month"]).collect()
+    by_month = {m: sorted(tuple(r)[1:] for r in got if r["month"] == m) for m in (None, "x")}
+    assert by_month[None] == by_month["x"] and all(r["feasible"] for r in got)
+
+
+def test_orders_without_a_region_stay_in_the_baseline(spark):
+    stats = sh.shrink(cells(spark, ("a", "Same Day", 20, 0.5), (None, "Same Day", 100, 0.9)))
+    got = al.allocate(stats, [4.0]).first()
+    whole = sh.baseline(stats).first()
+    assert got["baseline_late"] == pytest.approx(whole["baseline_late"]) == pytest.approx(100)
+    assert got["n_orders"] == 120 and len(got["plan"]) == 1
 
 
 def test_budget_below_the_cheapest_plan(spark):

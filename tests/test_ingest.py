@@ -56,6 +56,56 @@ def test_missing_headers_are_listed_or_raised(spark, csv):
         csv_files.missing_headers(raw, strict=True)
 
 
+def test_quoted_line_breaks_stay_in_their_field(spark, staging):
+    rows = staging({"product_name": 'two\nlines, "quoted"\r\nthree'}, {"order_id": 2})
+    path = scratch_path(spark, "csv")
+    csv_files.write_csv(rows, path)
+    back = csv_files.load_csv(spark, path)
+    assert back.count() == 2
+    names = {r["product_name"].replace("\r\n", "\n") for r in back.collect()}
+    assert names == {'two\nlines, "quoted"\nthree', "Ball"}
+
+
+def test_large_and_long_amounts_are_kept(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("Order Id,Sales\n1,1000000000.50\n2,1.1234567891234\n9999999999,3\n")
+    with pytest.warns(UserWarning):
+        rows = csv_files.load_csv(spark, str(path)).collect()
+    assert [str(r["sales"].normalize()) for r in rows] == ["1000000000.5", "1.1234567891234", "3"]
+    assert rows[2]["order_id"] == 9999999999
+
+
+def test_the_report_counts_what_is_lost(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(
+        "Order Id,order date (DateOrders),Sales,Order Item Quantity\n"
+        "1,2018-01-31,1.5,2\nx,1/31/2018 22:56,1.0000000000000000001,9999999999\n"
+        "3,,2\n4,1/31/2018 22:56,7,8,9\n")
+    raw = csv_files.read_csv(spark, str(path))
+    got = {r["column_name"]: tuple(r)[2:] for r in csv_files.load_report(raw).collect()}
+    assert got == {
+        "order_id": (4, 1, 0), "order_date": (3, 1, 0), "sales": (4, 0, 1),
+        "order_item_quantity": (3, 1, 0), csv_files.MALFORMED: (2, 2, 0)}
+    by_pattern = csv_files.load_report(raw, date_pattern="yyyy-MM-dd").collect()
+    assert {r["column_name"]: r["n_unparsed"] for r in by_pattern}["order_date"] == 2
+
+
+def test_dates_of_another_format(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("Order Id,order date (DateOrders)\n1,2018-01-31\n")
+    with pytest.warns(UserWarning):
+        row = csv_files.load_csv(spark, str(path), date_pattern="yyyy-MM-dd").first()
+    assert row["order_date"] == datetime.date(2018, 1, 31)
+
+
+def test_strict_loading_raises_on_lost_values(spark, staging, tmp_path):
+    path = scratch_path(spark, "csv")
+    csv_files.write_csv(staging({}), path)
+    assert csv_files.load_csv(spark, path, strict=True).count() == 1
+    with pytest.raises(ValueError, match="order_date"):
+        csv_files.load_csv(spark, path, strict=True, date_pattern="yyyy-MM-dd")
+
+
 def test_csv_round_trip(spark, staging):
     rows = staging({"order_city": "São Paulo", "product_name": 'a "b", c'}, {"order_id": 2})
     path = scratch_path(spark, "csv")
