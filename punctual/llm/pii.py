@@ -68,10 +68,24 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# What a text must hold before its patterns are tried; cheap to look for.
+_SPLIT = [(t[0], t[1:]) for group in TITLES.values() for t in group]
+_INITIALS, _RESTS = ("".join(sorted({i for i, _ in _SPLIT})), "|".join(sorted({r for _, r in _SPLIT})))
+TITLE = rf"[{_INITIALS}](?:{_RESTS})\.? \p{{Lu}}"
 MOST_DRAWS = 64
 KEY = "surrogates-1"
 
 
+def _matches(text: Column) -> Column:
+    """Whether ``ANY`` matches. Most texts have no sign of any kind and are read once."""
+    numeric = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k not in ("email", "name"))
+    return F.coalesce(
+        (text.contains("@") & text.rlike(PATTERNS["email"]))
+        | (text.rlike("[0-9]") & text.rlike(numeric))
+        | (text.rlike(TITLE) & text.rlike(PATTERNS["name"])), F.lit(False),
+    )
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
@@ -305,7 +319,7 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.col("text").cast("string")
     held = docs.select(
         F.struct(*[docs[c] for c in names]).alias("row"), text.alias("text"),
-        F.coalesce(text.rlike(ANY), F.lit(False)).alias("hit"),
+        _matches(text).alias("hit"),
         F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"),
     )
     found = held.filter("hit").select(
