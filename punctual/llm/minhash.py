@@ -255,7 +255,8 @@ def _class_links(classes: DataFrame, docs: DataFrame, size: int, percent: int) -
             "class_id", "set_key", "source"
         ), "wanted",
     )
-    one = wanted.select("source.*")
+    # Texts are shuffled at every size, also where the list is still small.
+    one = wanted.select("source.*").hint("merge")
     texts = docs.join(
         one, (docs.text_key == one.text_key) & docs.doc_id.eqNullSafe(one.doc_id), "left_semi"
     ).select("text")
