@@ -360,6 +360,52 @@ FROM (
     ON c.a = x.a AND c.b = y.b)""")
 
 
+def _pearson(column: str) -> str:
+    """Unrounded statistic and degrees of freedom."""
+    return f"""SELECT '{column}' AS variable, sum((o - e) * (o - e) / e) / 2 AS h,
+  (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS dof
+FROM (
+  SELECT x.a, y.b, coalesce(c.n, 0) AS o,
+         CAST(x.n AS DOUBLE) * y.n / (SELECT count(*) FROM v) AS e
+  FROM (SELECT {column} AS a, count(*) AS n FROM v GROUP BY 1) x
+  CROSS JOIN (SELECT late_delivery_risk AS b, count(*) AS n FROM v GROUP BY 1) y
+  LEFT JOIN (SELECT {column} AS a, late_delivery_risk AS b, count(*) AS n FROM v GROUP BY 1, 2) c
+    ON c.a = x.a AND c.b = y.b)"""
+
+
+# Closed sums of the chi-square tail, with the error function for odd degrees of freedom,
+# and Simpson's rule for that and for the density of Student's t.
+_P_VALUES = f""",
+tests AS ({_pearson("shipping_mode")} UNION ALL {_pearson("order_region")}),
+weights AS (SELECT unnest(range(0, 40001)) AS k),
+tails AS (
+  SELECT variable, h, dof, CASE WHEN dof % 2 = 0 THEN
+      list_sum([exp(-h + i * ln(h) - lgamma(i + 1)) for i in range(0, dof // 2)])
+    ELSE list_sum([exp(-h + (i + 0.5) * ln(h) - lgamma(i + 1.5)) for i in range(0, dof // 2)])
+    END AS summed,
+    (SELECT sum(CASE WHEN k IN (0, 40000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+                * exp(-pow(sqrt(h) + k * 0.00025, 2))) * 0.00025 / 3 * 2 / sqrt(pi())
+     FROM weights) AS error_function
+  FROM tests
+),
+parts AS (
+  SELECT late_delivery_risk AS y, count(*) AS n, avg(CAST(total_sales AS DOUBLE)) AS m,
+         var_samp(CAST(total_sales AS DOUBLE)) / count(*) AS a
+  FROM v JOIN totals USING (order_id) GROUP BY 1
+),
+welch AS (
+  SELECT abs(p.m - q.m) / sqrt(p.a + q.a) AS t,
+         pow(p.a + q.a, 2) / (p.a * p.a / (p.n - 1) + q.a * q.a / (q.n - 1)) AS dof
+  FROM parts p, parts q WHERE p.y = 1 AND q.y = 0
+),
+student AS (
+  SELECT 2 * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2) - 0.5 * ln(dof * pi())) * 0.001 / 3
+    * (SELECT sum(CASE WHEN k IN (0, 40000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+                  * exp(-(dof + 1) / 2 * ln(1 + pow(t + k * 0.001, 2) / dof))) FROM weights) AS p
+  FROM welch
+)"""
+
+
 def _by_region(scope: str, name: str) -> str:
     staged = "WITH RECURSIVE " + STAGING + ORDERS + REGION_CHOICES.replace("{scope}", scope)
     return staged + f"""
@@ -418,6 +464,9 @@ HAVING count(*) >= 2400 ORDER BY late_rate DESC, department_name LIMIT 10"""),
   CAST(count(*) FILTER (o_orderkey IS NULL) AS BIGINT) AS n_null,
   CAST(count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS BIGINT) AS n_orphans
 FROM orders""",
+    "test_p_values": _with(STAGING, ORDERS, _P_VALUES, select="""SELECT variable,
+  round(summed + CASE WHEN dof % 2 = 1 THEN error_function ELSE 0 END, 6) AS p_value FROM tails
+UNION ALL SELECT 'total_sales', round(p, 6) FROM student"""),
     "logit_mode": _orders("""SELECT term, round(coefficient, 4) AS coefficient,
   round(std_error, 4) AS std_error, round(ll, 4) AS log_likelihood, round(ll0, 4) AS null_log_likelihood,
   round(1 - ll / ll0, 4) AS pseudo_r2
