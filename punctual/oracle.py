@@ -595,6 +595,13 @@ FROM (SELECT order_id, late_delivery_risk, count(*) OVER (PARTITION BY late_deli
         row_number() OVER (PARTITION BY late_delivery_risk
                            ORDER BY md5(order_id || '|42'), order_id) AS rn FROM v)
 GROUP BY 1, 2"""),
+    "logistic_balance": _orders("""SELECT count(*) AS n_orders,
+  CAST(sum(late_delivery_risk) AS BIGINT) AS n_late,
+  round(avg(CAST(late_delivery_risk AS DOUBLE)), 3) AS mean_score
+FROM (SELECT late_delivery_risk, count(*) OVER (PARTITION BY late_delivery_risk) AS n,
+        row_number() OVER (PARTITION BY late_delivery_risk
+                           ORDER BY md5(order_id || '|42'), order_id) AS rn FROM v)
+WHERE rn <= 0.8 * n"""),
     "late_rate_shrunk": _scores("""SELECT order_region, shipping_mode, n AS n_orders,
   raw AS late_rate, round(rate, 9) AS global_rate, round(score, 9) AS late_rate_adjusted
 FROM shrunk, world"""),

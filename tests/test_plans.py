@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 # Iterative fits and streams have run before their result is planned.
 EAGER = {
     "incremental_load", "logistic_metrics", "gbt_metrics", "model_comparison",
-    "score_orders", "logit_coefficients",
+    "score_orders", "logit_coefficients", "logit_mode", "logistic_balance",
 }
 
 
