@@ -12,6 +12,7 @@ Only the counts by class, at most one row per class, come to the driver.
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -33,6 +34,12 @@ END_ID = 1
 # The program stops when the patterns need at most this share more than any could.
 GAP = 5e-4
 MOST_COLUMNS = 2000
+# Runs of white space this long go round the pattern, whose backtracking stack ends at a
+# million characters. The class is \s of the pattern; Python's holds U+001C to U+001F too.
+LONG_RUN = 1 << 16
+_RUN = re.compile(
+    "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN
+)
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -58,6 +65,21 @@ def _encoder(vocabulary: str | None):
     )
 
 
+def _ids(encoder, text: str) -> np.ndarray:
+    """Ids of a text. The pattern makes one piece of a run of white space, less its last
+    character if a word follows; long runs are cut out as that piece."""
+    if len(text) < LONG_RUN:
+        return encoder.encode_to_numpy(text)
+    out, at = [], 0
+    for run in _RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out.append(encoder.encode_to_numpy(text[at : run.start()]))
+        out.append(np.array(encoder._encode_single_piece(text[run.start() : end]), np.uint32))
+        at = end
+    out.append(encoder.encode_to_numpy(text[at:]))
+    return np.concatenate(out)
+
+
 def _cut(vocabulary: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary)
@@ -65,7 +87,7 @@ def _cut(vocabulary: str | None):
             out: list[tuple] = []
             ids = batch.column("doc_id").to_pylist()
             for doc_id, text in zip(ids, batch.column("text")):
-                own = np.append(encoder.encode_to_numpy(text.as_py() or ""), END_ID).astype("<u4")
+                own = np.append(_ids(encoder, text.as_py() or ""), END_ID).astype("<u4")
                 for start in range(0, len(own), LENGTH):
                     part = own[start : start + LENGTH]
                     out.append((doc_id, start, len(part), zlib.crc32(part.tobytes()), len(own)))

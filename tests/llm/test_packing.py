@@ -60,6 +60,23 @@ def test_long_word(documents, encode):
     check(packing.pack(documents(rows)).collect(), rows, encode)
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\u3000", "\r\n \xa0"])
+def test_huge_runs_of_white_space(documents, encode, blank):
+    """Longer than the pattern's backtracking stack, at every place of a text."""
+    run = blank * (1_000_000 // len(blank))
+    rows = [(1, run), (2, f"a{run}b"), (3, f"{run}\x1c{run}'s {run}\n1"), (4, f"é {run} {run}")]
+    check(packing.pack(documents(rows)).collect(), rows, encode)
+
+
+@pytest.mark.parametrize("more", [-1, 0, 1, 2])
+def test_runs_around_the_limit(encode, more):
+    run = " \t" * ((packing.LONG_RUN + more + 1) // 2)
+    run = run[: packing.LONG_RUN + more]
+    for text in (run, f"a{run}b", f"{run}\x85.", f"x{run}\ny{run} z"):
+        ids = packing._ids(packing._encoder(None), text)
+        assert np.append(ids, 1).tolist() == encode(text).tolist()
+
+
 def test_empty_table(documents):
     assert packing.pack(documents([])).count() == 0
 
