@@ -163,6 +163,10 @@ def selection(docs: DataFrame, labels: DataFrame, share: float | None = None) ->
     true for the ``share`` (default: that of the good labels) of rows with the largest
     keys. ``labels(doc_id, quality, toxic)`` name the target texts.
 
+    Only texts that are not toxic are the target, but ``share`` counts every good row, so
+    toxic rows of good quality stay: all 195 held out of sf0.1, with half of the labels.
+    This is no filter of toxic texts. A smaller ``share`` loses clean rows before them.
+
     A null or blank text has no n-gram and weight 0. Rows that are equal in id and text
     have equal keys; rows that tie with the last one are all selected. Without target
     rows all weights follow the raw texts alone. An empty table gives an empty result;

@@ -19,6 +19,22 @@ def test_good_documents_stay_and_bad_ones_go(spark):
     assert sum(bad) / len(bad) <= 0.5
 
 
+def test_held_out_toxic_rows(spark):
+    """The weight puts toxic good rows below clean ones but, as README says, k keeps them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = quality.selection(docs, labels.filter("doc_id % 2 = 0"))
+    unseen = out.join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    clean, toxic, bad = (
+        [r for r in unseen if (r.quality, r.toxic) == kind] for kind in ((1, 0), (1, 1), (0, 1))
+    )
+    stay = [sum(r.selected for r in rows) for rows in (clean, toxic, bad)]
+    assert (len(clean), len(toxic), len(bad)) == (1546, 195, 36)
+    assert stay == [1546, 195, 1]
+    above = sum(c.log_weight > t.log_weight for c in clean for t in toxic)
+    assert above >= 0.75 * len(clean) * len(toxic)
+
+
 def test_k_rows_with_the_largest_keys(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
