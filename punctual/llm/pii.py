@@ -73,6 +73,8 @@ _SPLIT = [(t[0], t[1:]) for group in TITLES.values() for t in group]
 _INITIALS, _RESTS = ("".join(sorted({i for i, _ in _SPLIT})), "|".join(sorted({r for _, r in _SPLIT})))
 TITLE = rf"[{_INITIALS}](?:{_RESTS})\.? \p{{Lu}}"
 MOST_DRAWS = 64
+SAME_LENGTH = 3  # later draws of users, telephone numbers and names grow by a symbol each
+LONGEST_USER = 64
 KEY = "surrogates-1"
 
 
@@ -183,6 +185,11 @@ def _reshaped(canon: Column, seed: Column) -> Column:
     ).when(c.rlike(r"\p{L}"), F.substr(letters, i % 64 + 1, F.lit(1))).otherwise(c)), "")
 
 
+def _grown(draw: Column) -> Column:
+    """How many symbols a surrogate is longer than what it stands for."""
+    return F.greatest(draw - SAME_LENGTH, F.lit(0))
+
+
 def _picked(names: list[str], seed: Column, salt: str) -> Column:
     number = F.conv(F.substr(F.sha2(F.concat(seed, F.lit(salt)), 256), F.lit(1), F.lit(8)), 16, 10)
     listed = F.array(*[F.lit(n) for n in names])
@@ -202,6 +209,8 @@ def _name_surrogate(type_: Column, seed: Column, draw: Column) -> Column:
             given = F.when(draw == 0, one).when(draw <= 3, F.concat_ws("-", one, more[0])).otherwise(
                 F.concat_ws("-", one, *more))
             out = F.when(type_ == f"given-{gender}:{script}", given).otherwise(out)
+        more = F.substr(_stream(F.concat(seed, F.lit("m")), LETTERS[script]), F.lit(1), _grown(draw - 4))
+        out = F.when(type_.endswith(f":{script}"), F.concat(out, more)).otherwise(out)
     return out
 
 
@@ -218,6 +227,11 @@ def _surrogate(type_: Column, canon: Column, draw: Column, key: str) -> Column:
     checked = F.lpad((F.lit(98) - _mod97(account)).cast("string"), 2, "0")
     octets = [F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(256)).cast("string") for i in range(3)]
     code = F.substring_index(type_, ":", -1)
+    grown = _grown(draw)
+    letters, numbers = (
+        F.substr(_stream(F.concat(seed, F.lit("m")), a), F.lit(1), grown)
+        for a in (LETTERS["latin"], "0123456789")
+    )
     return (
         # Reserved names and addresses, which reach nobody.
         F.when(type_ == "host", F.concat(
@@ -228,7 +242,10 @@ def _surrogate(type_: Column, canon: Column, draw: Column, key: str) -> Column:
         .when(type_ == "iban", F.concat(
             F.substr(canon, F.lit(1), F.lit(2)), checked, F.substr(account, F.lit(5))))
         .when(type_ == "ssn", F.concat(F.lit("9"), F.substr(shaped, F.lit(2))))
-        .when(type_.startswith("phone:"), F.concat(code, F.substr(shaped, F.length(code) + 1)))
+        .when(type_.startswith("phone:"), F.concat(
+            code, F.substr(shaped, F.length(code) + 1), numbers))
+        .when(type_ == "user", F.concat(
+            F.substr(shaped, F.lit(1), F.lit(LONGEST_USER) - grown), letters))
         .when(type_.startswith("family:") | type_.startswith("given-"), _name_surrogate(type_, seed, draw))
         .otherwise(shaped)
     )
@@ -238,7 +255,10 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``(type, canon, surrogate)`` for distinct ``entities(type, canon)``.
 
     A surrogate never equals a real entity of its type or the surrogate of another one.
-    Whoever loses draws again; the earlier draw, then the smaller entity, wins.
+    Whoever loses draws again; the earlier draw, then the smaller entity, wins. After some
+    draws users, telephone numbers and names grow, so that short ones do not run out. Of
+    addresses (251 million), social security numbers (100 million), card and account
+    numbers (those of a length) there are only so many; beyond these an error is raised.
     """
     current = entities.select("type", "canon").distinct().withColumn("draw", F.lit(0))
     for _ in range(MOST_DRAWS):
@@ -258,7 +278,7 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def _poured(mention: Column, canon: Column) -> Column:
-    """The characters of ``canon`` in the notation of ``mention``."""
+    """The characters of ``canon`` in the notation of ``mention``, any more at its end."""
     wanted = r"[0-9A-Za-z]"
     empty = F.struct(F.lit("").alias("text"), F.lit(1).alias("at"))
     done = F.aggregate(F.split(mention, ""), empty, lambda a, c: F.when(
@@ -266,7 +286,7 @@ def _poured(mention: Column, canon: Column) -> Column:
             F.concat(a["text"], F.substr(canon, a["at"], F.lit(1))).alias("text"),
             (a["at"] + 1).alias("at"))
     ).otherwise(F.struct(F.concat(a["text"], c).alias("text"), a["at"].alias("at"))))
-    return done["text"]
+    return F.concat(done["text"], F.substr(canon, done["at"]))
 
 
 def _cased(word: Column, like: Column) -> Column:

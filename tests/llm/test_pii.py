@@ -71,6 +71,22 @@ def test_surrogates_are_distinct_and_new(spark):
     assert not {r.surrogate for r in out} & {n for _, n in numbers}
 
 
+def test_short_entities_do_not_run_out(spark, documents):
+    """All users of one letter or digit, pairs, signs alone, and short telephone numbers."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    users = [*letters, *"0123456789", *(a + b for a in letters for b in letters), "%", "..", "_" * 64]
+    rows = [("user", u) for u in users] + [("phone:1", f"1{i:02d}") for i in range(100)]
+    out = pii.surrogates(spark.createDataFrame(rows, "type string, canon string")).collect()
+    made = {(r.type, r.surrogate) for r in out}
+    assert len(made) == len(out) == len(rows) and not made & set(rows)
+    assert all(r.surrogate[0] == "1" and r.surrogate.isdigit() for r in out if r.type == "phone:1")
+    assert all(len(r.surrogate) <= 64 for r in out)
+    texts = [*(f"to {c}@x.org" for c in letters), *(f"+1 22-{i:02d}" for i in range(100))]
+    new = [r.text for r in replaced(documents, *texts)]
+    assert len(set(new)) == len(texts) and not set(new) & set(texts)
+    assert all(re.fullmatch(r"to [a-z]+@[a-z]+\.example|\+1 \d\d-\d{2,}", t) for t in new)
+
+
 def test_the_key_decides(documents):
     one, two = (replaced(documents, "a@b.org", key=k)[0].text for k in ("k1", "k2"))
     assert one != two and one == replaced(documents, "a@b.org", key="k1")[0].text
