@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm import (
-    binary_codes, lines, lm, minhash, mixing, packing, pii, projections, quality,
-    secret_scan, sql,
+    alignment, binary_codes, lines, lm, minhash, mixing, packing, pii, projections, quality,
+    search, secret_scan, sql, toxicity,
 )
 from punctual.session import scratch_path
 
@@ -74,6 +74,22 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_documents(_table(spark, folder, "documents"), ledger).drop("blob")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(_table(spark, folder, "documents"))
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10
+    )
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(
+        _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
     "op2_lm": op2_lm,
@@ -85,6 +101,9 @@ QUERIES: dict[str, Query] = {
     "op8_lines": op8_lines,
     "op9_projections": op9_projections,
     "op10_secrets": op10_secrets,
+    "op11_alignment": op11_alignment,
+    "op12_search": op12_search,
+    "op13_toxicity": op13_toxicity,
 }
 
 SQL: dict[str, str] = sql.STATEMENTS

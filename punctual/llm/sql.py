@@ -120,9 +120,46 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
 FROM documents d LEFT JOIN written w ON w.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+SEARCH = r"""
+WITH terms AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE text IS NOT NULL
+),
+lengths AS (SELECT doc_id, len(t) AS n FROM terms WHERE len(t) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+held AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM terms) GROUP BY ALL
+),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total
+),
+impacts AS (
+  SELECT h.doc_id, h.term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)) AS i
+  FROM held h JOIN lengths l ON l.doc_id = h.doc_id, total
+),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * i) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL
+),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r,
+    doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
 STATEMENTS = {
     "op3_minhash": NEAR_DOCUMENTS,
     "op4_binary_codes": NEAR_VECTORS,
     "op8_lines": LINES,
     "op10_secrets": SECRETS,
+    "op12_search": SEARCH,
 }
