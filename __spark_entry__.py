@@ -32,6 +32,7 @@ from punctual.streaming import incremental
 # data, so the value limits are scaled.
 VALUE_LIMITS = [100_000, 200_000, 300_000]
 BUDGETS = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0]
+LARGE_BUDGETS = [0.5, 1.0, 1.05, 1.25, 1.5, 2.0, 3.0]
 SWEEP = [tenths / 10 for tenths in range(10, 41)]
 REGIONS = ["NATION_0", "NATION_7", "NATION_13"]
 LOADED_BEFORE = "1996-01-01"
@@ -106,6 +107,16 @@ def _by_market_and_region(house: Warehouse) -> DataFrame:
     return _headline(al.allocate(shrunk, BUDGETS, scenario=["market"]))
 
 
+def _allocation_large(house: Warehouse) -> DataFrame:
+    """One instance of all regions by order month, under one budget for all of them."""
+    cells = sh.shrink(sh.monthly_cells(house, "loose"))
+    summary, _ = al.allocate_large(cells, LARGE_BUDGETS)
+    return _rounded(summary.select(
+        "budget", "feasible", "n_regions", "n_upgrades", F.col("cost").alias("total_cost"),
+        F.col("late").alias("expected_late"), "gap", "next_saved",
+    ), 6, "expected_late", "gap", "next_saved")
+
+
 def _grown_customers(house: Warehouse) -> DataFrame:
     """Customers of an earlier load, completed by those of all orders.
 
@@ -338,6 +349,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "allocation_sweep": _by_budget("market", SWEEP),
     "allocation_by_region": _by_budget("order_region", BUDGETS),
     "allocation_per_market": _by_market_and_region,
+    "allocation_large": _allocation_large,
     "logistic_balance": _logistic_balance,
     "logistic_metrics": _held_out("logistic"),
     "gbt_metrics": _held_out("gbt"),

@@ -51,9 +51,14 @@ def weekday_name(day: Column) -> Column:
     return F.date_format(day, "EEEE")
 
 
-def parse_day(text: Column, pattern: str = "M/d/yyyy H:mm") -> Column:
-    """Date part of a timestamp text; text that does not parse becomes null."""
-    return F.to_date(F.try_to_timestamp(text, F.lit(pattern)))
+def parse_day(text: Column, pattern: str | Sequence[str] = "M/d/yyyy H:mm") -> Column:
+    """Date part of a timestamp text; text that does not parse becomes null.
+
+    Of several patterns the first that fits reads the text.
+    """
+    patterns = [pattern] if isinstance(pattern, str) else list(pattern)
+    read = [F.try_to_timestamp(text, F.lit(p)) for p in patterns]
+    return F.to_date(F.coalesce(*read)) if read else F.lit(None).cast("date")
 
 
 def in_list(column: Column, values: Sequence[str]) -> Column:

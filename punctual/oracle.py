@@ -260,6 +260,62 @@ best AS (
 )"""
 
 
+# One instance of all regions by order month: hull corners by pairs of options, upgrades
+# ranked by window, and the first upgrade that a budget does not reach.
+LARGE = """,
+cell AS (
+  SELECT order_region || ' ' || strftime(order_date, '%Y-%m') AS place, shipping_mode, count(*) AS n,
+         CAST(sum(CAST(days_for_shipping_real > CASE shipping_mode WHEN 'Same Day' THEN 5
+           WHEN 'First Class' THEN 4 WHEN 'Second Class' THEN 3 ELSE 2 END AS INTEGER)) AS DOUBLE)
+           AS late
+  FROM v GROUP BY ALL
+),
+world AS (SELECT sum(late) / sum(n) AS rate FROM cell),
+opt AS (
+  SELECT place, shipping_mode AS m,
+    vol.n * CASE shipping_mode WHEN 'Same Day' THEN 4.0 WHEN 'First Class' THEN 3.0
+            WHEN 'Second Class' THEN 2.0 ELSE 1.0 END::DOUBLE AS cost,
+    vol.n * ((c.n * (c.late / c.n) + 100 * w.rate) / (c.n + 100)) AS late
+  FROM cell c JOIN (SELECT place, CAST(sum(n) AS DOUBLE) AS n FROM cell GROUP BY 1) vol USING (place), world w
+  WHERE place IS NOT NULL
+),
+sound AS (
+  SELECT * FROM opt o WHERE NOT EXISTS (
+    SELECT 1 FROM opt p WHERE p.place = o.place AND p.cost <= o.cost AND p.late <= o.late
+      AND (p.cost < o.cost OR p.late < o.late OR p.m < o.m))
+),
+corner AS (
+  SELECT o.place, o.m, o.cost, o.late FROM sound o JOIN sound p ON p.place = o.place GROUP BY ALL
+  HAVING coalesce(min((p.late - o.late) / (o.cost - p.cost)) FILTER (p.cost < o.cost), 'inf'::DOUBLE)
+    > coalesce(max((o.late - p.late) / (p.cost - o.cost)) FILTER (p.cost > o.cost), -1)
+),
+stepped AS (
+  SELECT *, row_number() OVER r - 1 AS step, cost - lag(cost) OVER r AS more, lag(late) OVER r - late AS saved
+  FROM corner WINDOW r AS (PARTITION BY place ORDER BY cost)
+),
+ranking AS (
+  SELECT *, sum(more) OVER (ORDER BY round(saved / more, 9) DESC, place, step) AS through,
+         round(saved / more, 9) AS per_cost
+  FROM stepped WHERE step > 0
+),
+base AS (
+  SELECT sum(cost) AS cost, sum(late) AS late, count(*) AS places,
+         (SELECT sum(n) FROM cell WHERE place IS NOT NULL) AS n FROM stepped WHERE step = 0
+),
+asked AS (
+  SELECT budget, b.*, budget * b.n * (1 + 1e-12) - b.cost AS slack
+  FROM base b, (SELECT CAST(unnest({budgets}) AS DOUBLE) AS budget)
+),
+reach AS (
+  SELECT budget, count(*) FILTER (through <= slack) AS n_upgrades,
+    coalesce(sum(more) FILTER (through <= slack), 0) AS spent,
+    coalesce(sum(saved) FILTER (through <= slack), 0) AS saved,
+    coalesce(arg_min(per_cost, through) FILTER (through > slack), 0) AS price,
+    coalesce(arg_min(r.saved, through) FILTER (through > slack), 0) AS next_saved
+  FROM asked JOIN ranking r ON true GROUP BY budget
+)"""
+
+
 def rate(late: str, n: str, digits: int = 3) -> str:
     """late / n, rounded half up, in integers; both arguments not negative."""
     unit = 10**digits
@@ -295,6 +351,7 @@ def _scores(select: str) -> str:
     return _with(STAGING, ORDERS, SCORES, select=select)
 
 
+LARGE_BUDGETS = "[0.5, 1.0, 1.05, 1.25, 1.5, 2.0, 3.0]"
 FEW_BUDGETS = "[0.5, 1.0, 1.5, 2.0, 2.5, 3.0]"
 SWEEP = "[x / 10.0 for x in range(10, 41)]"
 
@@ -651,6 +708,14 @@ UNION ALL SELECT NULL, 1.0, 0.0"""),
     "allocation_by_budget": _allocation(_HEADLINE),
     "allocation_sweep": _allocation(_HEADLINE, SWEEP),
     "allocation_by_region": _by_region("'all'", ""),
+    "allocation_large": _with(STAGING, ORDERS, LARGE.replace(
+        "{budgets}", LARGE_BUDGETS), select="""SELECT a.budget, slack >= 0 AS feasible, CAST(places AS BIGINT) AS n_regions,
+  CAST(coalesce(n_upgrades, 0) AS BIGINT) AS n_upgrades,
+  CASE WHEN slack >= 0 THEN a.cost + spent END AS total_cost,
+  CASE WHEN slack >= 0 THEN round(a.late - saved, 6) END AS expected_late,
+  CASE WHEN slack >= 0 THEN round(price * (slack - spent), 6) END AS gap,
+  CASE WHEN slack >= 0 THEN round(next_saved, 6) END AS next_saved
+FROM asked a JOIN reach USING (budget)"""),
     "allocation_per_market": _by_region("c.market", "scope AS market, "),
     "allocation_plan": _allocation("""SELECT budget,
   unnest(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST']) AS market,

@@ -5,6 +5,10 @@ regions. It is built some regions at a time. Each step extends every partial pla
 modes of these regions and drops plans that cost no less and deliver no better than
 another. Scenarios, such as months or markets, are independent and go through the
 same steps side by side.
+
+With many regions, dual bounds (``allocate_bounds``) first decide what they can: regions
+with one mode left are summed up, the steps go over the others only, and partial plans
+that no longer can be the best of any budget are dropped. The result is the same.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.functions.scalar import lookup
+from punctual.plans import allocate_bounds as ab
 from punctual.session import materialize
 
 # Relative cost of a shipment by mode.
@@ -32,6 +37,8 @@ COST_RANGES = 1024
 # Regions that are added between two searches for dominated plans. Four modes each make
 # 64 times as many plans before a search, at a third of the searches.
 REGIONS_PER_STEP = 3
+# From so many regions on, bounds are worth their jobs.
+REGIONS_FOR_BOUNDS = 10
 
 
 def _within(cost: Column, limit: Column) -> Column:
@@ -39,7 +46,7 @@ def _within(cost: Column, limit: Column) -> Column:
     return cost <= limit + F.abs(limit) * 1e-12
 
 
-def candidates(
+def region_options(
     stats: DataFrame,
     rate: str,
     region: str,
@@ -47,7 +54,7 @@ def candidates(
     cost_index: dict[str, float],
     unobserved: str,
 ) -> DataFrame:
-    """One row per scenario and region with the array of its modes.
+    """One row per scenario and region: ``volume`` and the array of its modes.
 
     The volume of a region counts its orders in all modes, also in modes without a
     cost. A mode that a region has no history for is no candidate; with
@@ -70,19 +77,21 @@ def candidates(
         (F.col("volume") * lookup(cost_index, F.col("shipping_mode"))).alias("cost"),
         (F.col("volume") * F.col("_rate")).alias("late"),
     )
-    listed = pairs.groupBy(*here, "volume").agg(
+    return pairs.groupBy(*here, "volume").agg(
         F.sort_array(F.collect_list(F.when(F.col("_rate").isNotNull(), option)))
         .alias("options")
     )
+
+
+def _steps(listed: DataFrame, region: str, scenario: Sequence[str]) -> DataFrame:
+    """Number the regions of each scenario; ``cost_to_come`` is the least cost of the later."""
     cheapest = F.array_min(F.transform("options", lambda o: o["cost"]))
     by_region = Window.partitionBy(*scenario).orderBy(F.asc_nulls_first(region))
     later = by_region.rowsBetween(1, Window.unboundedFollowing)
-    every = Window.partitionBy(*scenario)
     return listed.select(
-        *here, "options",
+        "*",
         F.row_number().over(by_region).alias("step"),
         F.coalesce(F.sum(cheapest).over(later), F.lit(0.0)).alias("cost_to_come"),
-        F.sum("volume").over(every).alias("total_volume"),
     )
 
 
@@ -111,25 +120,44 @@ def undominated(points: DataFrame, scenario: Sequence[str], top: Column) -> Data
 
 
 def frontier(
-    choices: DataFrame,
+    listed: DataFrame,
     region: str,
     scenario: Sequence[str],
-    highest_budget: float | None = None,
+    budgets: Sequence[float],
     dearest: float = max(COST_INDEX.values()),
 ) -> DataFrame:
     """Undominated (cost, late, plan) totals over all regions of each scenario.
 
-    Partial plans that cannot stay within the highest budget, even with the cheapest
-    modes from here on, are dropped as well; this loses no feasible plan. ``dearest`` is
-    the largest cost index, which bounds the cost of a plan.
+    ``listed`` holds the options of every region. Partial plans that cannot stay within
+    the highest budget, even with the cheapest modes from here on, are dropped as well,
+    and so are, with many regions, those that no budget's best plan can grow from; this
+    loses no best plan. ``dearest`` is the largest cost index, which bounds the cost.
     """
-    choices = materialize(choices, "choices")
-    last = choices.agg(F.max("step")).first()[0] or 0
-    nothing = F.array().cast(f"array<struct<{region}:string,recommended_mode:string>>")
-    points = choices.groupBy(*scenario).agg(F.max("total_volume").alias("total_volume")).select(
+    listed = materialize(listed, "listed")
+    plan_type = f"array<struct<{region}:string,recommended_mode:string>>"
+    points = listed.groupBy(*scenario).agg(F.sum("volume").alias("total_volume")).select(
         *scenario, "total_volume", F.lit(0.0).alias("cost"), F.lit(0.0).alias("late"),
-        nothing.alias("plan"),
+        F.array().cast(plan_type).alias("plan"),
     )
+    most = listed.groupBy(*scenario).count().agg(F.max("count")).first()[0] or 0
+    bounded = most >= REGIONS_FOR_BOUNDS
+    if bounded:
+        listed = ab.undecided(listed, region, scenario, budgets)
+        only = F.col("options")[0]
+        decided = listed.filter(F.size("options") == 1).groupBy(*scenario).agg(
+            F.sum(only["cost"]).alias("_cost"), F.sum(only["late"]).alias("_late"),
+            F.collect_list(F.struct(
+                F.col(region).cast("string").alias(region),
+                only["shipping_mode"].alias("recommended_mode"),
+            )).alias("_plan"),
+        )
+        listed = ab.with_rests(listed.filter(F.size("options") != 1), region, scenario)
+        points = points.join(materialize(decided, "decided"), list(scenario), "left").select(
+            *scenario, "total_volume", F.coalesce("_cost", "cost").alias("cost"),
+            F.coalesce("_late", "late").alias("late"), F.coalesce("_plan", "plan").alias("plan"),
+        )
+    choices = materialize(_steps(listed, region, scenario), "choices")
+    last = choices.agg(F.max("step")).first()[0] or 0
     # A scenario with fewer regions passes through unchanged.
     idle = F.array(F.struct(
         F.lit(None).cast("string").alias("shipping_mode"),
@@ -138,24 +166,25 @@ def frontier(
 
     def extended(plans: DataFrame, step: int) -> DataFrame:
         here = choices.filter(F.col("step") == step).select(
-            *scenario, region, "options", "cost_to_come"
+            *scenario, region, "options", "cost_to_come", *["bounds"] * bounded
         )
         grown = plans.join(here, list(scenario), "left").withColumn(
             "_o", F.explode(F.coalesce("options", idle))
         )
         choice = F.struct(F.col(region).cast("string").alias(region),
                           F.col("_o.shipping_mode").alias("recommended_mode"))
+        cost, late = (F.col(c) + F.col(f"_o.{c}") for c in ("cost", "late"))
         plan = F.when(F.col("_o.shipping_mode").isNull(), F.col("plan")).otherwise(
             F.array_append("plan", choice)
         )
-        if highest_budget is not None:
-            at_least = (
-                F.col("cost") + F.col("_o.cost") + F.coalesce("cost_to_come", F.lit(0.0))
-            )
-            grown = grown.filter(_within(at_least, highest_budget * F.col("total_volume")))
+        at_least = cost + F.coalesce("cost_to_come", F.lit(0.0))
+        grown = grown.filter(_within(at_least, max(budgets) * F.col("total_volume")))
+        if bounded:
+            grown = grown.filter(F.col("_o.shipping_mode").isNull() | ab.may_be_best(
+                cost, late, F.col("bounds")
+            ))
         return grown.select(
-            *scenario, "total_volume", (F.col("cost") + F.col("_o.cost")).alias("cost"),
-            (F.col("late") + F.col("_o.late")).alias("late"), plan.alias("plan"),
+            *scenario, "total_volume", cost.alias("cost"), late.alias("late"), plan.alias("plan")
         )
 
     for start in range(1, last + 1, REGIONS_PER_STEP):
@@ -189,8 +218,8 @@ def allocate(
     rows = materialize(stats.withColumn("_scenario", name), "cells")
     keys, costs = ["_scenario"], cost_index or COST_INDEX
     placed = rows.filter(F.col(region).isNotNull())
-    choices = candidates(placed, rate, region, keys, costs, unobserved)
-    points = frontier(choices, region, keys, max(budgets), max(costs.values()))
+    listed = region_options(placed, rate, region, keys, costs, unobserved)
+    points = frontier(listed, region, keys, budgets, max(costs.values()))
 
     each = F.explode(F.array(*[F.lit(float(b)) for b in budgets])).alias("budget")
     affordable = points.select("*", each).filter(
@@ -219,3 +248,22 @@ def allocate(
 def assignment(allocated: DataFrame, scenario: Sequence[str] = ()) -> DataFrame:
     """One row per region with its recommended mode."""
     return allocated.filter("feasible").select(*scenario, "budget", F.inline("plan"))
+
+
+def allocate_large(
+    stats: DataFrame,
+    budgets: Sequence[float] = tuple(BUDGETS),
+    rate: str = "late_rate_adjusted",
+    region: str = "order_region",
+    cost_index: dict[str, float] | None = None,
+    unobserved: str = "exclude",
+) -> tuple[DataFrame, DataFrame]:
+    """Summary per budget and assignment per region, for very many regions at once.
+
+    The plan may be above the best one, by ``gap`` at most, which is never more than
+    what one upgrade of one region saves (``next_saved``). The regions are compared by
+    range, never in one task. Arguments are those of ``allocate``.
+    """
+    placed = materialize(stats.filter(F.col(region).isNotNull()), "cells")
+    listed = region_options(placed, rate, region, [], cost_index or COST_INDEX, unobserved)
+    return ab.allocate_many(listed, region, budgets)

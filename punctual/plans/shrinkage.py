@@ -19,12 +19,36 @@ def what_if_cells(house: Warehouse, schedule: str, region: str = "order_region")
 
     Lateness is taken from the actual days, so no order needs to be loaded again.
     """
+    places = house.table("dim_geography").select("geography_id", region)
+    return _cells(house, schedule, [(places, "geography_id")], region)
+
+
+def monthly_cells(house: Warehouse, schedule: str, region: str = "order_region") -> DataFrame:
+    """The same per region and order month; the region column reads ``place yyyy-mm``.
+
+    Orders without a region or an order date have no region.
+    """
+    places = house.table("dim_geography").select("geography_id", F.col(region).alias("_place"))
+    months = house.table("dim_date").select(
+        F.col("date_id").alias("order_date_id"), F.date_format("full_date", "yyyy-MM").alias("_month")
+    )
+    return _cells(
+        house, schedule, [(places, "geography_id"), (months, "order_date_id")], region,
+        F.concat("_place", F.lit(" "), "_month"),
+    )
+
+
+def _cells(house, schedule, dimensions, region, name=None) -> DataFrame:
+    """Counts by the keys of the dimensions first, then by the region's name."""
+    keys = [key for _, key in dimensions]
     orders = house.table("order_grain").groupBy(
-        "geography_id", "shipping_mode_id", "days_for_shipping_real"
+        *keys, "shipping_mode_id", "days_for_shipping_real"
     ).agg(F.count("*").alias("n"))
-    named = orders.join(
-        house.table("dim_geography").select("geography_id", region), "geography_id"
-    ).join(house.table("dim_shipping_mode"), "shipping_mode_id")
+    for dimension, key in dimensions:
+        orders = orders.join(dimension, key, "left" if name is not None else "inner")
+    named = orders.join(house.table("dim_shipping_mode"), "shipping_mode_id")
+    if name is not None:
+        named = named.withColumn(region, name)
     late = F.col("days_for_shipping_real") > lookup(SCHEDULES[schedule], F.col("shipping_mode"))
     counts = named.groupBy(region, "shipping_mode").agg(
         F.sum("n").alias("n_orders"),

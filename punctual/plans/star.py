@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from punctual import schema
 from punctual.functions.scalar import same_key, weekday_name
+from punctual.operators import key_filter
 from punctual.operators.keys import attach_key, drop_repeats, first_by, with_dense_id
 from punctual.session import materialize
 from punctual.sources.warehouse import Warehouse
@@ -112,47 +113,62 @@ def fact_order_items(
     )
 
 
-def order_grain(fact: DataFrame) -> DataFrame:
-    """One row per order: the first item's order-level fields, and item sums.
+ORDER_FIELDS = [c for c in schema.V_ORDERS if c != "order_id"] + [
+    "days_for_shipping_real", "days_for_shipment_sched",
+]
+
 
-    Items are summed by order and order-level fields first, in a hash aggregate with
-    fixed-width buffers. In sound orders the fields agree, so that is one row per order
-    and nothing else is read. Only orders whose items disagree are looked up again, to
-    find the item with the smallest key.
+def order_versions(fact: DataFrame) -> DataFrame:
+    """Sales and the first item by order and order-level fields.
+
+    An item without a key comes before all others.
     """
-    fields = [c for c in schema.V_ORDERS if c != "order_id"] + [
-        "days_for_shipping_real", "days_for_shipment_sched",
-    ]
-    versions = materialize(order_versions(fact, fields), "versions")
-    per_order = versions.groupBy("order_id").agg(
-        F.count("*").alias("_versions"),
-        F.sum("_sales").cast(versions.schema["_sales"].dataType).alias("total_sales"),
-        F.max("days_for_shipment_sched").alias("max_days_sched"),
-    )
-    mixed = materialize(
-        per_order.filter("_versions > 1").select(F.col("order_id").alias("_mixed")), "mixed"
+    key = F.col("order_item_id")
+    return fact.groupBy("order_id", *ORDER_FIELDS).agg(
+        F.sum("sales").alias("_sales"), F.min(key).alias("_first"),
+        F.bool_or(key.isNull()).alias("_keyless"),
+    ).select(
+        "order_id", *ORDER_FIELDS, F.col("_sales").alias("total_sales"),
+        F.col("days_for_shipment_sched").alias("max_days_sched"),
+        F.when(~F.col("_keyless"), F.col("_first")).alias("first_item"),
     )
-    here = same_key([F.col("order_id")], [F.col("_mixed")], null_safe=True)
-    agreed = versions.join(mixed, here, "left_anti").select("order_id", *fields, "_sales")
-    sums = {"total_sales": F.col("_sales"), "max_days_sched": F.col("days_for_shipment_sched")}
-    one = agreed.select("order_id", *fields, *[v.alias(k) for k, v in sums.items()])
-    if mixed.isEmpty():
-        return one
-    first = fact.join(mixed, here, "left_semi").groupBy("order_id").agg(
-        F.min(F.struct("order_item_id", *fields)).alias("_first")
+
+
+def merge_orders(parts: DataFrame) -> DataFrame:
+    """One row per order from several partial ones, in the columns of ``order_grain``.
+
+    Sales add up, promised days take the maximum, and the order-level fields are those of
+    the part with the smallest first item. Parts can be merged in any order and grouping.
+    """
+    first = F.min(F.struct("first_item", *ORDER_FIELDS)).alias("_first")
+    kind = parts.schema["total_sales"].dataType
+    merged = parts.groupBy("order_id").agg(
+        first, F.sum("total_sales").cast(kind).alias("total_sales"),
+        F.max("max_days_sched").alias("max_days_sched"),
     )
-    several = first.withColumnRenamed("order_id", "_mixed").join(
-        per_order.filter("_versions > 1"), here
+    return merged.select(
+        "order_id", *[F.col(f"_first.{c}").alias(c) for c in ORDER_FIELDS],
+        "total_sales", "max_days_sched", F.col("_first.first_item").alias("first_item"),
     )
-    return one.unionByName(several.select(
-        "order_id", *[F.col(f"_first.{c}").alias(c) for c in fields],
-        "total_sales", "max_days_sched",
-    ))
 
 
-def order_versions(fact: DataFrame, fields: list[str]) -> DataFrame:
-    """Sales by order and order-level fields."""
-    return fact.groupBy("order_id", *fields).agg(F.sum("sales").alias("_sales"))
+def order_grain(fact: DataFrame) -> DataFrame:
+    """One row per order: the first item's order-level fields, and item sums.
+
+    Items are summed by order and order-level fields first. In sound orders the fields
+    agree, so that is one row per order, and it stays as it is. Only the parts of orders
+    whose items disagree are merged.
+    """
+    versions = materialize(order_versions(fact), "versions")
+    mixed = materialize(
+        versions.groupBy("order_id").agg(F.count("*").alias("_versions"))
+        .filter("_versions > 1").select(F.col("order_id").alias("_mixed")), "mixed",
+    )
+    if mixed.isEmpty():
+        return versions
+    here = same_key([F.col("order_id")], [F.col("_mixed")], null_safe=True)
+    agreed = versions.join(mixed, here, "left_anti")
+    return agreed.unionByName(merge_orders(versions.join(mixed, here, "left_semi")))
 
 
 def v_orders(orders: DataFrame) -> DataFrame:
@@ -163,11 +179,25 @@ def v_orders(orders: DataFrame) -> DataFrame:
 def register_views(house: Warehouse, prefix: str = "") -> None:
     """Temporary views, so that SQL text can name the tables and the order view."""
     for name in schema.table_schemas():
-        if name not in ("order_grain", schema.TOUCHED):
+        if name not in ("order_grain", schema.TOUCHED, schema.FACT_FILTER):
             house.table(name).createOrReplaceTempView(prefix + name)
     v_orders(house.table("order_grain")).createOrReplaceTempView(prefix + "v_orders")
 
 
+def filter_of(house: Warehouse, name: str, paths: list[str]) -> DataFrame:
+    """Key filter of some folders, which belong to one written table."""
+    key = schema.BUCKETED[name]
+    roots = {p.rsplit("/", 1)[0] for p in paths}
+    if not roots:
+        return house.spark.createDataFrame([], key_filter.LAYOUT)
+    (root,) = roots
+    return key_filter.filter_rows(house.part(name, paths), key, root, house.buckets)
+
+
+def write_filter(house: Warehouse, name: str) -> None:
+    house.write(schema.FACT_FILTER, filter_of(house, name, house.paths(name)))
+
+
 def build(
     spark: SparkSession, staging: DataFrame, root: str, null_safe: bool = True
 ) -> Warehouse:
@@ -184,6 +214,8 @@ def build(
         house.table("dim_geography"), house.table("dim_shipping_mode"),
         house.table("dim_date"), null_safe,
     )
-    house.write("order_grain", order_grain(house.write("fact_order_items", fact)))
-    house.write(schema.TOUCHED, spark.createDataFrame([], schema.table_schemas()[schema.TOUCHED]))
+    items = house.write("fact_order_items", fact)
+    write_filter(house, "fact_order_items")
+    orders = house.write("order_grain", order_grain(items))
+    house.write(schema.TOUCHED, spark.createDataFrame([], orders.schema))
     return house.publish()

@@ -12,7 +12,12 @@ DATE = T.DateType()
 # digits before and eighteen after the point. Tables with declared amounts pass their own.
 AMOUNT = T.DecimalType(38, 18)
 
+# Sums of the items of late batches, by order, that the order table has not seen yet.
 TOUCHED = "touched_orders"
+# Bit arrays that tell which folders of the fact cannot hold an item key.
+FACT_FILTER = "fact_filter"
+# Tables with one folder per hash bucket of a key.
+BUCKETED = {"fact_order_items": "order_item_id", "order_grain": "order_id"}
 
 # Column names of the published model.
 CUSTOMER_ATTRIBUTES = [
@@ -86,6 +91,10 @@ def table_schemas(
     days = {"full_date": DATE, "year": INT, "month": INT, "day": INT, "weekday": TEXT}
     # A sum has ten more digits than its summands, where there are as many.
     total = T.DecimalType(min(38, amount.precision + 10), amount.scale)
+    grain = layout(
+        *V_ORDERS, *DELIVERY[:2], "total_sales", "max_days_sched", "first_item",
+        **keys, total_sales=total, max_days_sched=INT, first_item=item_key,
+    )
     return {
         "stg_orders": staging,
         "dim_customer": layout("customer_id", *CUSTOMER_ATTRIBUTES),
@@ -98,10 +107,6 @@ def table_schemas(
             "geography_id", "shipping_mode_id", "order_date_id", "shipping_date_id",
             *DELIVERY, *MEASURES, "payment_type", **keys,
         ),
-        "order_grain": layout(
-            *V_ORDERS, *DELIVERY[:2], "total_sales", "max_days_sched",
-            **keys, total_sales=total, max_days_sched=INT,
-        ),
-        # Orders with items that the order-grain table has not seen yet.
-        TOUCHED: layout("order_id"),
+        "order_grain": grain,
+        TOUCHED: grain,
     }

@@ -158,3 +158,129 @@ def test_unknown_option_is_refused(spark):
     with pytest.raises(ValueError, match="unobserved"):
         al.allocate(cells(spark, ("a", "Same Day", 1, 0.1)), rate="late_rate",
                     unobserved="free")
+
+
+def efficient(options):
+    """Corners of the lower hull, one after the other by the largest saving per cost."""
+    cost, late, _ = here = min(options, key=lambda o: (o[0], o[1], o[2]))
+    corners = [here]
+    while True:
+        better = [o for o in options if o[0] > cost and o[1] < late]
+        if not better:
+            return corners
+        here = max(better, key=lambda o: ((late - o[1]) / (o[0] - cost), o[0]))
+        cost, late, _ = here
+        corners.append(here)
+
+
+def by_region(rows):
+    volume = {}
+    for region, _, n, _ in rows:
+        volume[region] = volume.get(region, 0) + n
+    options = {}
+    for region, mode, _, rate in rows:
+        options.setdefault(region, []).append(
+            (volume[region] * al.COST_INDEX[mode], volume[region] * rate, mode))
+    return volume, options
+
+
+def many_cells(regions, seed):
+    """Rates with few digits, so that ties, dominated and collinear modes occur."""
+    rng = random.Random(seed)
+    return [(f"R{r:05d}", mode, rng.randrange(1, 60), rng.randrange(0, 21) / 20)
+            for r in range(regions) for mode in al.COST_INDEX if rng.random() < 0.9 or mode == "Same Day"]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_large_plans_and_their_gap(spark, seed):
+    rows = many_cells(300, seed)
+    volume, options = by_region(rows)
+    budgets = [0.3, 1.2, 1.5, 2.2, 3.0, 4.0]
+    summary, plan = al.allocate_large(cells(spark, *rows), budgets, rate="late_rate")
+    got = {r["budget"]: r for r in summary.collect()}
+    chosen = {}
+    for r in plan.collect():
+        chosen.setdefault(r["budget"], {})[r["order_region"]] = r["recommended_mode"]
+    total = sum(volume.values())
+    steps = sorted(
+        (-round((a[1] - b[1]) / (b[0] - a[0]), 9), region, k, b[0] - a[0], a[1] - b[1])
+        for region, some in options.items()
+        for k, (a, b) in enumerate(itertools.pairwise(efficient(some)), 1)
+    )
+    for budget in budgets:
+        cost = sum(min(o)[0] for o in options.values())
+        late = sum(min(o)[1] for o in options.values())
+        r = got[budget]
+        assert r["feasible"] == (cost <= budget * total)
+        if not r["feasible"]:
+            assert budget not in chosen and r["late"] is None
+            continue
+        bound = late
+        for _, _, _, more, saved in steps:
+            if cost + more > budget * total:
+                bound = late - saved / more * (budget * total - cost)
+                assert r["next_saved"] == pytest.approx(saved)
+                break
+            cost, late, bound = cost + more, late - saved, late - saved
+        assert (r["cost"], r["late"]) == (pytest.approx(cost), pytest.approx(late))
+        assert r["bound"] == pytest.approx(bound) and 0 <= r["gap"] + 1e-9 <= r["next_saved"] + 2e-9
+        assert set(chosen[budget]) == set(volume)
+        value = [next(o for o in options[k] if o[2] == m) for k, m in chosen[budget].items()]
+        assert sum(v[0] for v in value) == pytest.approx(cost) and cost <= budget * total
+        assert sum(v[1] for v in value) == pytest.approx(late)
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_bounds_enclose_the_best_plan(spark, seed):
+    rows, budgets = random_cells(6, seed), [0.9, 1.1, 1.6, 2.4, 3.3, 4.0]
+    summary, _ = al.allocate_large(cells(spark, *rows), budgets, rate="late_rate")
+    for r in summary.collect():
+        best = brute_force(rows, lambda n, rate: rate, r["budget"])
+        assert r["feasible"] == (best is not None)
+        if best is not None:
+            assert r["bound"] - 1e-6 <= best <= r["late"] + 1e-6
+
+
+@pytest.mark.parametrize("make", [random_cells, many_cells])
+def test_bounds_do_not_change_the_table_of_25_regions(spark, monkeypatch, make):
+    rows, budgets = make(25, 8), [0.9, 1.05, 1.5, 2.0, 3.0, 4.0]
+    found = []
+    for least in (10, 1000):
+        monkeypatch.setattr(al, "REGIONS_FOR_BOUNDS", least)
+        out = al.allocate(cells(spark, *rows), budgets, rate="late_rate").collect()
+        found.append({r["budget"]: r for r in out})
+    volume, options = by_region(rows)
+    for budget, r in found[0].items():
+        other = found[1][budget]
+        assert r["feasible"] == other["feasible"] and r["total_cost"] == other["total_cost"]
+        if not r["feasible"]:
+            continue
+        assert r["expected_late"] == pytest.approx(other["expected_late"])
+        plan = {p["order_region"]: p["recommended_mode"] for p in r["plan"]}
+        value = [next(o for o in options[k] if o[2] == m) for k, m in plan.items()]
+        assert len(plan) == 25 and sum(v[0] for v in value) == r["total_cost"]
+        assert sum(v[1] for v in value) == pytest.approx(r["expected_late"])
+
+
+def test_bounds_of_scenarios_of_different_size(spark):
+    first, second = random_cells(13, 31), random_cells(4, 32)
+    both = spark.createDataFrame(
+        [("x", *r) for r in first] + [(None, *r) for r in second], "month string, " + COLUMNS)
+    budgets = [0.5, 1.2, 2.5]
+    got = {(r["month"], r["budget"]): r for r in
+           al.allocate(both, budgets, rate="late_rate", scenario=["month"]).collect()}
+    alone = {(m, r["budget"]): r for m, rows in (("x", first), (None, second)) for r in
+             al.allocate(cells(spark, *rows), budgets, rate="late_rate").collect()}
+    assert set(got) == set(alone)
+    for key, r in got.items():
+        assert (r["feasible"], r["total_cost"]) == (alone[key]["feasible"], alone[key]["total_cost"])
+        if r["feasible"]:
+            assert r["expected_late"] == pytest.approx(alone[key]["expected_late"])
+
+
+def test_large_without_rows_or_candidates(spark):
+    summary, plan = al.allocate_large(cells(spark), [1.0], rate="late_rate")
+    assert plan.count() == 0 and not any(r["feasible"] for r in summary.collect())
+    some = cells(spark, ("a", "Drone", 30, 0.0), ("b", "Standard Class", 10, 0.5), (None, "Same Day", 5, 0.1))
+    summary, plan = al.allocate_large(some, [4.0], rate="late_rate")
+    assert [r["feasible"] for r in summary.collect()] == [False] and plan.count() == 0
