@@ -54,11 +54,14 @@ LETTERS = {
     "latin": "bcdfghjkmnpqrstv", "cyrillic": "бвгджзклмнпрстфх", "greek": "βγδζθκλμνπρστφχψ",
 }
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
-_NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)*"
+# Repeated groups recurse per repetition, so they are bounded or without a way back.
+_NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)*+"
+MOST_LABELS = 126  # besides the first and the last; a host has 253 characters
 
 # Kinds in the order in which they are tried at a position.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+"
+             rf"(?:\.[A-Za-z0-9-]+){{0,{MOST_LABELS}}}\.[A-Za-z]{{2,}}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",

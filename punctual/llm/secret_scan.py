@@ -47,7 +47,8 @@ BASE_RULES = [
     Rule("hex", r"[0-9a-f]{32,}"),
 ]
 MORE_RULES = [
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    # All words up to the last, without a way back: no recursion, however many there are.
+    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*+(?<= PRIVATE )KEY-----"),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),

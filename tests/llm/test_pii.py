@@ -126,3 +126,22 @@ def test_odd_rows(documents, odd_rows):
 
 def test_empty_table(documents):
     assert pii.with_surrogates(documents([])).count() == 0
+
+
+def test_a_megabyte_of_each_patterns_own_repetition(documents):
+    """No pattern recurses with the length of a text, which would end the executor."""
+    texts = [
+        "a@" + "b." * 500_000 + "com", "a@b" + ".c" * 500_000, "x@" * 500_000,
+        "1." * 500_000, "DE00" + " 0000" * 200_000, "123-45-" * 150_000, "1 " * 500_000,
+        "+1 22" + "-22" * 330_000, "(123) " * 170_000, "Mr A" + "bc-D" * 250_000 + "e",
+        "Mr " * 330_000, "Mr Ab " * 170_000, "Dr. " + "Ab Cd " * 170_000,
+    ]
+    out = replaced(documents, *texts)
+    assert len(out) == len(texts)
+    for r in out:
+        assert r.n_entities or r.text == texts[r.doc_id]
+    # The bounded and the possessive form replace what they match.
+    assert "a@b." not in out[0].text and not out[9].text.startswith("Mr Abc-D")
+    few = replaced(documents, "to a@" + "b." * 60 + "com now", "Mr Ab-Cd-Ef Gh-Ij left")
+    assert few[0].n_entities == 1 and few[0].text.endswith(".example now")
+    assert few[1].n_entities == 1 and few[1].text.endswith(" left") and "Cd" not in few[1].text

@@ -94,3 +94,24 @@ def test_more_rules(spark, documents):
 
 def test_empty_table(spark, documents):
     assert scan(spark, documents([])) == []
+
+
+def test_a_megabyte_of_each_patterns_own_repetition(spark, documents):
+    """No pattern recurses with the length of a text, which would end the executor."""
+    long = 500_000
+    rows = list(enumerate([
+        "-----BEGIN " + "A " * long, "-----BEGIN " + "RSA " * 1000 + "PRIVATE KEY-----",
+        "-----BEGIN " + "PRIVATE " * (long // 4) + "KEY-----", "-----BEGIN " * (long // 6),
+        "token" + " " * (2 * long), "token=" + "a" * (2 * long), "AKIA" * (long // 2), "a" * (2 * long),
+        "eyJ" + "a" * long + ".eyJ" + "b" * long + "." + "c" * long, "ghp_" + "a" * (2 * long),
+        "xoxb-" + "1-" * long, "a" * 20 + "://" + "u:" * long, "a://b:" + "c" * (2 * long),
+        "-----BEGIN XPRIVATE KEY-----", "-----BEGIN  PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----",
+    ]))
+    out = {r.doc_id: r.spans for r in scan(spark, documents(rows))}
+    assert len(out) == len(rows)
+    old = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+    for doc_id, text in rows:
+        spans = [f"pem:{m.start()}:{m.end()}" for m in old.finditer(text)]
+        assert [s for s in out[doc_id].split(",") if s.startswith("pem")] == spans
+    assert "jwt:0" in out[8] and "github:0" in out[9] and "slack:0" in out[10]
+    check(scan(spark, documents(rows)), rows)
