@@ -143,7 +143,7 @@ def frontier(
     bounded = most >= REGIONS_FOR_BOUNDS
     if bounded:
         listed = ab.undecided(listed, region, scenario, budgets)
-        only = F.col("options")[0]
+        only = F.get("options", F.lit(0))
         decided = listed.filter(F.size("options") == 1).groupBy(*scenario).agg(
             F.sum(only["cost"]).alias("_cost"), F.sum(only["late"]).alias("_late"),
             F.collect_list(F.struct(

@@ -107,7 +107,7 @@ def budget_bounds(
     if all fit), ``bound`` (no plan within the budget has fewer late orders) and
     ``next_saved`` (what the first upgrade that does not fit would save).
     """
-    cheapest = F.col("corners")[0]
+    cheapest = F.get("corners", F.lit(0))
     base = hulls.groupBy(*scenario).agg(
         F.sum(cheapest["cost"]).alias("base_cost"), F.sum(cheapest["late"]).alias("base_late"),
         F.sum("volume").alias("total_volume"), F.count("*").alias("n_regions"),
@@ -166,7 +166,7 @@ def allocate_many(
     reached = bounds.filter("feasible").select(
         *scenario, "budget", (F.col("spendable") * (1 + 1e-12)).alias("_spendable")
     )
-    base = hulls.groupBy(*scenario).agg(F.sum(F.col("corners")[0]["cost"]).alias("_base"))
+    base = hulls.groupBy(*scenario).agg(F.sum(F.get("corners", F.lit(0))["cost"]).alias("_base"))
     limits = (reached.join(base, list(scenario)) if scenario else reached.crossJoin(base)).select(
         *scenario, "budget", (F.col("_spendable") - F.col("_base")).alias("_slack")
     )
@@ -177,7 +177,7 @@ def allocate_many(
         F.max(F.struct("step", "shipping_mode")).alias("_last")
     )
     first = hulls.select(
-        *scenario, F.col(region), F.col("corners")[0]["shipping_mode"].alias("_first")
+        *scenario, F.col(region), F.get("corners", F.lit(0))["shipping_mode"].alias("_first")
     )
     every = first.join(limits, list(scenario)) if scenario else first.crossJoin(F.broadcast(limits))
     plan = every.join(last, keys, "left").select(
