@@ -37,8 +37,10 @@ COST_RANGES = 1024
 # Regions that are added between two searches for dominated plans. Four modes each make
 # 64 times as many plans before a search, at a third of the searches.
 REGIONS_PER_STEP = 3
-# From so many regions on, bounds are worth their jobs.
-REGIONS_FOR_BOUNDS = 10
+# From so many regions on, bounds are worth their jobs. With them, few plans pass each
+# region, so more regions are added before a search.
+REGIONS_FOR_BOUNDS = 30
+REGIONS_PER_BOUNDED_STEP = 8
 
 
 def _within(cost: Column, limit: Column) -> Column:
@@ -187,8 +189,9 @@ def frontier(
             *scenario, "total_volume", cost.alias("cost"), late.alias("late"), plan.alias("plan")
         )
 
-    for start in range(1, last + 1, REGIONS_PER_STEP):
-        steps = range(start, min(start + REGIONS_PER_STEP, last + 1))
+    stride = REGIONS_PER_BOUNDED_STEP if bounded else REGIONS_PER_STEP
+    for start in range(1, last + 1, stride):
+        steps = range(start, min(start + stride, last + 1))
         points = undominated(
             reduce(extended, steps, points), scenario, F.col("total_volume") * dearest
         )

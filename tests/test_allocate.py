@@ -262,7 +262,8 @@ def test_bounds_do_not_change_the_table_of_25_regions(spark, monkeypatch, make):
         assert sum(v[1] for v in value) == pytest.approx(r["expected_late"])
 
 
-def test_bounds_of_scenarios_of_different_size(spark):
+def test_bounds_of_scenarios_of_different_size(spark, monkeypatch):
+    monkeypatch.setattr(al, "REGIONS_FOR_BOUNDS", 10)
     first, second = random_cells(13, 31), random_cells(4, 32)
     both = spark.createDataFrame(
         [("x", *r) for r in first] + [(None, *r) for r in second], "month string, " + COLUMNS)
