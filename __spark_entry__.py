@@ -17,16 +17,17 @@ from punctual.operators.insert import insert_if_absent
 from punctual.operators.split import stratified_split
 from punctual.plans import allocate as al
 from punctual.plans import diagnose as dg
+from punctual.plans import estimability as es
 from punctual.plans import evaluate as ev
 from punctual.plans import model as ml
 from punctual.plans import quality as dq
 from punctual.plans import shrinkage as sh
 from punctual.plans import star, stats
 from punctual.session import materialize, scratch_path
-from punctual.sources import csv_files, retail
+from punctual.sources import csv_files, date_formats, retail
 from punctual.sources.given import warehouse_for
 from punctual.sources.warehouse import Warehouse
-from punctual.streaming import incremental
+from punctual.streaming import incremental, scoring
 
 # Order totals of the given tables are about a thousand times those of the reference
 # data, so the value limits are scaled.
@@ -179,6 +180,72 @@ def _csv_report(house: Warehouse) -> DataFrame:
     )
 
 
+def _date_formats(house: Warehouse) -> DataFrame:
+    """What the values of two date columns tell about their patterns: one mixes ISO days
+    with times of day, the other is day-first."""
+    raw = csv_files.read_csv(house.spark, _written_csv(house))
+    ordered, shipped = (csv_files.HEADERS[c] for c in ("order_date", "shipping_date"))
+    number = F.col(csv_files.HEADERS["order_id"]).cast("long")
+
+    def rewritten(column: str, pattern: str):
+        return F.date_format(csv_files.parse_day(F.col(column), csv_files.DATE_PATTERN), pattern)
+
+    mixed = raw.withColumn(ordered, F.when(
+        number % 5 == 0, rewritten(ordered, "yyyy-MM-dd")).otherwise(F.col(ordered))
+    ).withColumn(shipped, rewritten(shipped, "d/M/yyyy"))
+    return date_formats.format_report(mixed, [ordered, shipped])
+
+
+def _redelivered(house: Warehouse) -> DataFrame:
+    """Items without a key, in a batch that is delivered twice: counted by order."""
+    spark = house.spark
+    layouts = schema.table_schemas(schema.TEXT, retail.MONEY)
+    root = scratch_path(spark, "redelivered")
+    incremental.empty_warehouse(spark, root, layouts)
+    keyless = house.table("stg_orders").withColumn("order_item_id", F.lit(None).cast("string"))
+    for _ in range(2):
+        incremental.load_batch(Warehouse.open(spark, root), keyless, "delivery", 0)
+    loaded = Warehouse.open(spark, root).table("fact_order_items")
+    return loaded.groupBy("order_id").agg(F.count("*").alias("n_items"))
+
+
+def _score_stream(house: Warehouse) -> DataFrame:
+    """Orders scored by a stream in two parts with a restart, beside their batch scores."""
+    spark = house.spark
+    features = materialize(ml.training_features(house), "features")
+    path, files, progress = (scratch_path(spark, n) for n in ("model", "orders", "progress"))
+    ml.fit(features, ml.logistic(features.count()), ml.VERSIONS["A"]).write().save(path)
+    model = ml.load_model(path)
+    root = scratch_path(spark, "scores")
+    target = Warehouse(spark, root)
+    target.write(scoring.SCORED, ml.with_band(ml.score(model, features.limit(0))))
+    target.publish()
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    for part in (0, 1):
+        features.filter(half == part).write.mode("append").parquet(files)
+        for _ in range(2):  # the second start finds nothing new
+            scoring.stream_scores(
+                Warehouse.open(spark, root), model, files, features.schema, progress
+            ).awaitTermination()
+    streamed = Warehouse.open(spark, root).table(scoring.SCORED)
+    batch = ml.with_band(ml.score(model, features)).select(
+        F.col("order_id"), F.col("score").alias("_score"), F.col("risk_band").alias("_band")
+    )
+    return streamed.join(batch, "order_id").select(
+        "order_id", (F.abs(F.col("score") - F.col("_score")) < 1e-12).alias("same_score"),
+        (F.col("risk_band") == F.col("_band")).alias("same_band"),
+    )
+
+
+def _score_equations(house: Warehouse) -> DataFrame:
+    """Late orders by level, observed and as the fitted logit expects them."""
+    factors = ["shipping_mode", "order_region"]
+    orders = materialize(stats.order_features(house), "orders")
+    fitted = stats.logit(orders, factors, [])
+    equations = es.score_equations(orders, fitted, factors, [], stats.LABEL)
+    return _rounded(equations, 2, "observed", "expected")
+
+
 def _positions(sorted_rows: DataFrame) -> DataFrame:
     """Number the rows of a sorted result as they come."""
     placed = sorted_rows.withColumn("_at", F.monotonically_increasing_id())
@@ -288,6 +355,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v_orders": lambda w: star.v_orders(w.table("order_grain")),
     "csv_ingest": _from_csv,
     "csv_load_report": _csv_report,
+    "date_format_report": _date_formats,
     "late_rate_by_region": dg.late_rate_by_region,
     "late_rate_by_region_in_order": lambda w: _positions(dg.late_rate_by_region(w)),
     "late_rate_by_order_value_in_order": lambda w: _positions(
@@ -317,6 +385,7 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dq_order_constancy": dq.order_constancy,
     "insert_if_absent_customer": _grown_customers,
     "incremental_load": _streamed,
+    "redelivered_batch": _redelivered,
     "order_features": stats.order_features,
     "training_features": ml.training_features,
     "chi_square_mode": _chi_square("shipping_mode"),
@@ -355,6 +424,8 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "gbt_metrics": _held_out("gbt"),
     "model_comparison": lambda w: ml.held_out_quality(ml.training_features(w)),
     "score_orders": _scored,
+    "score_stream": _score_stream,
+    "logit_score_equations": _score_equations,
 }
 
 # Queries over single given tables.

@@ -502,6 +502,33 @@ FROM (SELECT min_by(fact, order_item_id) AS one FROM fact GROUP BY order_id)""")
     "csv_ingest": _stg("""SELECT * REPLACE (CASE WHEN order_id % 10 = 0
   THEN product_name || chr(10) || '"odd", name' ELSE product_name END AS product_name) FROM stg"""),
     "csv_load_report": _stg("\nUNION ALL ".join(_csv_losses(c) for c in _CSV_COLUMNS)),
+    "date_format_report": _stg("""SELECT column_name, pattern,
+  CAST(sum(n) FILTER (nth = 1) OVER (PARTITION BY column_name) AS BIGINT) AS n_present, n AS n_shape, possible,
+  CAST(count(*) FILTER (possible) OVER (PARTITION BY column_name, kind) - CAST(possible AS INTEGER) AS BIGINT)
+    AS n_rivals
+FROM (
+  SELECT column_name, kind, n, pattern, row_number() OVER (PARTITION BY column_name, kind ORDER BY pattern) AS nth,
+    CASE pattern WHEN 'M/d/yyyy H:mm' THEN true WHEN 'yyyy-M-d' THEN true WHEN 'd/M/yyyy' THEN true
+      WHEN 'd/M/yyyy H:mm' THEN last_day <= 12 WHEN 'M/d/yyyy' THEN last_day <= 12 ELSE false END AS possible
+  FROM (
+    SELECT 'order date (DateOrders)' AS column_name, CASE WHEN order_id % 5 = 0 THEN 'iso' ELSE 'time' END AS kind,
+      count(order_date) AS n, max(day(order_date)) AS last_day FROM stg GROUP BY ALL
+    UNION ALL
+    SELECT 'shipping date (DateOrders)', 'day', count(shipping_date), max(day(shipping_date)) FROM stg
+  ) JOIN (
+    SELECT unnest(['time', 'time', 'iso', 'iso', 'iso', 'day', 'day', 'day']) AS kind,
+      unnest(['M/d/yyyy H:mm', 'd/M/yyyy H:mm', 'yyyy-M-d', 'd-M-yyyy', 'M-d-yyyy',
+              'M/d/yyyy', 'd/M/yyyy', 'yyyy/M/d']) AS pattern
+  ) USING (kind)
+)"""),
+    "redelivered_batch": _stg("SELECT order_id, count(*) AS n_items FROM stg GROUP BY order_id"),
+    "score_stream": _orders("SELECT order_id, true AS same_score, true AS same_band FROM v"),
+    "logit_score_equations": _orders("""SELECT 'Intercept' AS term, count(*) AS n_rows,
+  CAST(sum(late_delivery_risk) AS DOUBLE) AS observed, CAST(sum(late_delivery_risk) AS DOUBLE) AS expected FROM v
+UNION ALL SELECT 'shipping_mode_' || shipping_mode, count(*), sum(late_delivery_risk), sum(late_delivery_risk)
+FROM v GROUP BY shipping_mode
+UNION ALL SELECT 'order_region_' || order_region, count(*), sum(late_delivery_risk), sum(late_delivery_risk)
+FROM v GROUP BY order_region"""),
     "late_rate_by_region_in_order": _orders(f"""SELECT *, row_number() OVER (
   ORDER BY late_rate DESC NULLS FIRST, order_region) AS position
 FROM (SELECT order_region, count(*) AS n_orders, {LATE} AS late_rate FROM v GROUP BY 1)"""),

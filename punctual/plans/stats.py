@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctual.functions.tails import chi_square_p, student_p
+from punctual.plans.estimability import check_estimable
 from punctual.sources.warehouse import Warehouse
 
 LABEL = "late_delivery_risk"
@@ -149,7 +150,8 @@ def logit(
     """Unregularized logit, one row per term.
 
     Treatment coding with the alphabetically first level as base. The fit is
-    distributed; its summary, one entry per term, is all the driver handles.
+    distributed; its summary, one entry per term, is all the driver handles. Data that do
+    not determine the coefficients are an error that names the terms.
     """
     used = rows.select(label, *categorical, *[F.col(c).cast("double") for c in numeric])
     regression = GeneralizedLinearRegression(family="binomial", link="logit")
@@ -158,6 +160,7 @@ def logit(
         # A factor with one level is part of the intercept.
         levels = clean.agg(*[(F.min(c) != F.max(c)).alias(c) for c in categorical]).first()
         factors = [c for c in categorical if levels[c]]
+        check_estimable(clean, factors, numeric, label)
         formula = RFormula(
             formula=f"{label} ~ {' + '.join([*factors, *numeric])}",
             stringIndexerOrderType="alphabetDesc",
