@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Sequence
-from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -46,21 +45,18 @@ EXTRA_QUERIES: dict[str, Query] = {}
 EXTRA_SQL: dict[str, str] = {}
 
 
-def _present(module: str) -> bool:
-    try:
-        return find_spec(module) is not None
-    except ModuleNotFoundError:
-        return False
-
-
-if _present("punctual.llm.registry"):
+try:
     from punctual.llm import registry as _llm
-
+except ImportError:
+    pass
+else:
     EXTRA_QUERIES |= _llm.QUERIES
     EXTRA_SQL |= _llm.SQL
-    if _present("corpus_pipeline"):
+    try:
         import corpus_pipeline as _pipeline
-
+    except ImportError:
+        pass
+    else:
         EXTRA_QUERIES["pipeline"] = _pipeline.run
 
 
