@@ -118,57 +118,75 @@ ORDER_FIELDS = [c for c in schema.V_ORDERS if c != "order_id"] + [
 ]
 
 
-def order_versions(fact: DataFrame) -> DataFrame:
-    """Sales and the first item by order and order-level fields.
+def order_grain(fact: DataFrame) -> DataFrame:
+    """One row per order: the first item's order-level fields, and item sums.
 
-    An item without a key comes before all others.
+    Items are summed by order and order-level fields first, in a hash aggregate with
+    fixed-width buffers. In sound orders the fields agree, so that is one row per order
+    and nothing else is read. Only orders whose items disagree are looked up again, to
+    find the item with the smallest key.
     """
-    key = F.col("order_item_id")
-    return fact.groupBy("order_id", *ORDER_FIELDS).agg(
-        F.sum("sales").alias("_sales"), F.min(key).alias("_first"),
-        F.bool_or(key.isNull()).alias("_keyless"),
-    ).select(
-        "order_id", *ORDER_FIELDS, F.col("_sales").alias("total_sales"),
-        F.col("days_for_shipment_sched").alias("max_days_sched"),
-        F.when(~F.col("_keyless"), F.col("_first")).alias("first_item"),
+    fields = ORDER_FIELDS
+    versions = materialize(order_versions(fact, fields), "versions")
+    per_order = versions.groupBy("order_id").agg(
+        F.count("*").alias("_versions"),
+        F.sum("_sales").cast(versions.schema["_sales"].dataType).alias("total_sales"),
+        F.max("days_for_shipment_sched").alias("max_days_sched"),
     )
-
-
-def merge_orders(parts: DataFrame) -> DataFrame:
-    """One row per order from several partial ones, in the columns of ``order_grain``.
-
-    Sales add up, promised days take the maximum, and the order-level fields are those of
-    the part with the smallest first item. Parts can be merged in any order and grouping.
-    """
-    first = F.min(F.struct("first_item", *ORDER_FIELDS)).alias("_first")
-    kind = parts.schema["total_sales"].dataType
-    merged = parts.groupBy("order_id").agg(
-        first, F.sum("total_sales").cast(kind).alias("total_sales"),
-        F.max("max_days_sched").alias("max_days_sched"),
+    mixed = materialize(
+        per_order.filter("_versions > 1").select(F.col("order_id").alias("_mixed")), "mixed"
     )
-    return merged.select(
-        "order_id", *[F.col(f"_first.{c}").alias(c) for c in ORDER_FIELDS],
-        "total_sales", "max_days_sched", F.col("_first.first_item").alias("first_item"),
+    here = same_key([F.col("order_id")], [F.col("_mixed")], null_safe=True)
+    agreed = versions.join(mixed, here, "left_anti").select("order_id", *fields, "_sales")
+    sums = {"total_sales": F.col("_sales"), "max_days_sched": F.col("days_for_shipment_sched")}
+    one = agreed.select("order_id", *fields, *[v.alias(k) for k, v in sums.items()])
+    if mixed.isEmpty():
+        return one
+    first = fact.join(mixed, here, "left_semi").groupBy("order_id").agg(
+        F.min(F.struct("order_item_id", *fields)).alias("_first")
+    )
+    several = first.withColumnRenamed("order_id", "_mixed").join(
+        per_order.filter("_versions > 1"), here
     )
+    return one.unionByName(several.select(
+        "order_id", *[F.col(f"_first.{c}").alias(c) for c in fields],
+        "total_sales", "max_days_sched",
+    ))
 
 
-def order_grain(fact: DataFrame) -> DataFrame:
-    """One row per order: the first item's order-level fields, and item sums.
+def order_versions(fact: DataFrame, fields: list[str]) -> DataFrame:
+    """Sales by order and order-level fields."""
+    return fact.groupBy("order_id", *fields).agg(F.sum("sales").alias("_sales"))
+
 
-    Items are summed by order and order-level fields first. In sound orders the fields
-    agree, so that is one row per order, and it stays as it is. Only the parts of orders
-    whose items disagree are merged.
+def merge_orders(parts: DataFrame, fact: DataFrame) -> DataFrame:
+    """One row per order from several partial ones, in the columns of ``order_grain``.
+
+    Sales add up and promised days take the maximum; parts can be merged in any order and
+    grouping. Where the order-level fields of an order's parts agree, they stay, and the
+    items of ``fact`` are not read. Only for orders whose parts disagree it is looked up
+    which item is the first.
     """
-    versions = materialize(order_versions(fact), "versions")
+    kind = parts.schema["total_sales"].dataType
+    sums = [F.sum("total_sales").cast(kind).alias("total_sales"),
+            F.max("max_days_sched").alias("max_days_sched")]
+    versions = materialize(parts.groupBy("order_id", *ORDER_FIELDS).agg(*sums), "versions")
     mixed = materialize(
-        versions.groupBy("order_id").agg(F.count("*").alias("_versions"))
-        .filter("_versions > 1").select(F.col("order_id").alias("_mixed")), "mixed",
+        versions.groupBy(F.col("order_id").alias("_mixed")).agg(F.count("*").alias("_versions"), *sums)
+        .filter("_versions > 1"), "mixed",
     )
     if mixed.isEmpty():
         return versions
     here = same_key([F.col("order_id")], [F.col("_mixed")], null_safe=True)
-    agreed = versions.join(mixed, here, "left_anti")
-    return agreed.unionByName(merge_orders(versions.join(mixed, here, "left_semi")))
+    keys = mixed.select("_mixed")
+    first = fact.join(keys, here, "left_semi").groupBy("order_id").agg(
+        F.min(F.struct("order_item_id", *ORDER_FIELDS)).alias("_first")
+    )
+    several = first.join(mixed, here).select(
+        "order_id", *[F.col(f"_first.{c}").alias(c) for c in ORDER_FIELDS],
+        "total_sales", "max_days_sched",
+    )
+    return versions.join(keys, here, "left_anti").unionByName(several)
 
 
 def v_orders(orders: DataFrame) -> DataFrame:
