@@ -140,8 +140,8 @@ def test_a_megabyte_of_each_patterns_own_repetition(documents):
     assert len(out) == len(texts)
     for r in out:
         assert r.n_entities or r.text == texts[r.doc_id]
-    # The bounded and the possessive form replace what they match.
-    assert "a@b." not in out[0].text and not out[9].text.startswith("Mr Abc-D")
+    # No host has half a million labels, so the first is no address; the name is replaced.
+    assert out[0].n_entities == 0 and not out[9].text.startswith("Mr Abc-D")
     few = replaced(documents, "to a@" + "b." * 60 + "com now", "Mr Ab-Cd-Ef Gh-Ij left")
     assert few[0].n_entities == 1 and few[0].text.endswith(".example now")
     assert few[1].n_entities == 1 and few[1].text.endswith(" left") and "Cd" not in few[1].text
