@@ -127,8 +127,8 @@ def _grown_customers(house: Warehouse) -> DataFrame:
     return insert_if_absent(star.dim_customer(staged), before, ["customer_id"])
 
 
-def _streamed(house: Warehouse) -> DataFrame:
-    """Orders of a warehouse that streams filled in two parts, with a restart between.
+def _streamed_house(house: Warehouse) -> Warehouse:
+    """A warehouse that streams filled in two parts, with a refresh and a restart between.
 
     Half of the items of every order come in either part.
     """
@@ -144,7 +144,17 @@ def _streamed(house: Warehouse) -> DataFrame:
         incremental.stream_into(
             target, files, layouts["stg_orders"], progress
         ).awaitTermination()
-    return ml.training_features(incremental.refresh_orders(Warehouse.open(spark, root)))
+        target = incremental.refresh_orders(Warehouse.open(spark, root))
+    return target
+
+
+def _summary(house: Warehouse) -> DataFrame:
+    """The summary of orders, added up over the buckets of the order table."""
+    kept = house.table(schema.SUMMARY)
+    return kept.groupBy(
+        "part", "has_order", "geography_id", "shipping_mode_id", "shipping_date_id",
+        F.col("value_bin").cast("bigint").alias("value_bin"), "late_delivery_risk",
+    ).agg(*[F.sum(c).alias(c) for c in ["n", "sum_real", "n_real", "sum_sched", "n_sched"]])
 
 
 def _written_csv(house: Warehouse) -> str:
@@ -271,7 +281,7 @@ def _welch(house: Warehouse) -> DataFrame:
 
 def _chi_square(variable: str) -> Callable[[Warehouse], DataFrame]:
     def query(house: Warehouse) -> DataFrame:
-        tested = stats.chi_square(stats.order_features(house), variable)
+        tested = stats.chi_square_of_orders(house, variable)
         return _rounded(tested.drop("p_value"), 6, "chi2")
 
     return query
@@ -279,12 +289,11 @@ def _chi_square(variable: str) -> Callable[[Warehouse], DataFrame]:
 
 def _test_p_values(house: Warehouse) -> DataFrame:
     """The p-values of all three tests."""
-    orders = materialize(stats.order_features(house), "orders")
     tests = [
-        stats.chi_square(orders, v).select("variable", "p_value")
+        stats.chi_square_of_orders(house, v).select("variable", "p_value")
         for v in ["shipping_mode", "order_region"]
     ]
-    value = stats.welch(orders).select(F.lit("total_sales").alias("variable"), "p_value")
+    value = stats.welch(stats.order_features(house)).select(F.lit("total_sales").alias("variable"), "p_value")
     return _rounded(tests[0].unionByName(tests[1]).unionByName(value), 6, "p_value")
 
 
@@ -380,7 +389,9 @@ MODEL_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dq_foreign_keys": dq.foreign_keys,
     "dq_order_constancy": dq.order_constancy,
     "insert_if_absent_customer": _grown_customers,
-    "incremental_load": _streamed,
+    "incremental_load": lambda w: ml.training_features(_streamed_house(w)),
+    "late_rates_after_load": lambda w: dg.late_rate_region_mode(_streamed_house(w)),
+    "order_summary": _summary,
     "redelivered_batch": _redelivered,
     "order_features": stats.order_features,
     "training_features": ml.training_features,

@@ -39,6 +39,24 @@ def value_bucket(value: Column, limits: Sequence[int]) -> Column:
     return label.otherwise(f"{limits[-1]}+")
 
 
+def leading_digits(value: Column) -> Column:
+    """The number with the first two digits of the whole part of ``value``, then zeros.
+
+    1234.5 gives 1200; values below 1 give 0. It never exceeds the value, and compares
+    with ``whole_bound`` numbers as the value itself does.
+    """
+    whole = F.floor(value).cast("string")
+    cut = F.rpad(F.substr(whole, F.lit(1), F.lit(2)), F.length(whole), F.lit("0"))
+    return F.when(value < 1, F.lit(0).cast("decimal(38,0)")).when(
+        value.isNotNull(), cut.cast("decimal(38,0)"))
+
+
+def whole_bound(limit: float) -> bool:
+    """Whether ``leading_digits`` keeps values below and above ``limit`` apart."""
+    digits = str(limit)
+    return digits.isdigit() and limit > 0 and not digits[2:].strip("0")
+
+
 def risk_band(score: Column, high: float = 0.6, moderate: float = 0.4) -> Column:
     """Three bands with strict lower limits."""
     return (

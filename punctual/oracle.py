@@ -655,6 +655,31 @@ FROM (SELECT l_orderkey, count(DISTINCT l_returnflag) AS flags,
   THEN 'formerly ' || customer_segment ELSE customer_segment END AS customer_segment,
   customer_city, customer_state, customer_country FROM dim_customer"""),
     "incremental_load": _orders(_FEATURES),
+    "late_rates_after_load": _orders(f"""SELECT order_region, shipping_mode, count(*) AS n_orders,
+  {LATE} AS late_rate FROM v GROUP BY 1, 2"""),
+    "order_summary": _with(STAGING, DIMENSIONS, ORDERS, select="""SELECT
+  CASE WHEN grouping(geography_id) = 0 THEN 'place_mode' WHEN grouping(shipping_date_id) = 0
+       THEN 'ship_day' ELSE 'value' END AS part,
+  has_order, geography_id, shipping_mode_id, shipping_date_id, value_bin, late_delivery_risk,
+  count(*) AS n, CAST(sum(days_for_shipping_real) AS BIGINT) AS sum_real,
+  count(days_for_shipping_real) AS n_real,
+  CAST(sum(days_for_shipment_sched) AS BIGINT) AS sum_sched,
+  count(days_for_shipment_sched) AS n_sched
+FROM (
+  SELECT v.*, g.geography_id, m.shipping_mode_id, d.date_id AS shipping_date_id,
+    v.order_id IS NOT NULL AS has_order, CASE WHEN whole < 1 THEN 0 ELSE whole - whole % unit END AS value_bin
+  FROM v JOIN (
+    SELECT order_id, whole, CAST(10 ** greatest(length(CAST(whole AS VARCHAR)) - 2, 0) AS BIGINT) AS unit
+    FROM (SELECT order_id, CAST(floor(total_sales) AS BIGINT) AS whole FROM totals)
+  ) USING (order_id)
+  LEFT JOIN dim_geography g ON (g.order_city, g.order_state, g.order_country, g.order_region, g.market)
+    IS NOT DISTINCT FROM (v.order_city, v.order_state, v.order_country, v.order_region, v.market)
+  LEFT JOIN dim_shipping_mode m ON m.shipping_mode = v.shipping_mode
+  LEFT JOIN dim_date d ON d.full_date = v.shipping_date
+)
+GROUP BY GROUPING SETS (
+  (has_order, late_delivery_risk, geography_id, shipping_mode_id),
+  (has_order, late_delivery_risk, shipping_date_id), (has_order, late_delivery_risk, value_bin))"""),
     "order_features": _orders("""SELECT v.order_id, v.late_delivery_risk,
   v.order_region, v.shipping_mode, CAST(t.total_sales AS DECIMAL(28,2)) AS total_sales
 FROM v JOIN totals t USING (order_id)"""),

@@ -1,8 +1,9 @@
 """Where and why are orders late?
 
-Order-grain questions count orders by dimension keys first. Joins to the dimensions
-then see one row per key combination, so a region with a large share of the orders
-makes no large join partition, whatever the join strategy.
+Order-grain questions read the summary that is written with the order table, counts of
+orders by dimension keys, and add these up; the order table is not scanned. Joins to the
+dimensions see one row per key combination, so a region with a large share of the
+orders makes no large join partition, whatever the join strategy.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctual import schema
 from punctual.functions.scalar import (
-    in_list, ratio, rounded_rate, rounded_ratio, value_bucket,
+    in_list, ratio, rounded_rate, rounded_ratio, value_bucket, whole_bound,
 )
+from punctual.plans import star
 from punctual.sources.warehouse import Warehouse
 
 VALUE_LIMITS = [100, 300, 600]
@@ -30,6 +33,29 @@ def counts_by(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def summary(house: Warehouse, part: str) -> DataFrame:
+    """Counts of orders by one set of keys and the late flag."""
+    if schema.SUMMARY in house:
+        counts = house.table(schema.SUMMARY)
+    else:  # published before there was one
+        counts = star.order_summary(house.table("order_grain"), house.buckets)
+    return counts.filter(F.col("part") == part)
+
+
+def _sums() -> list:
+    flag = F.col("late_delivery_risk")
+    return [
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(flag.isNotNull(), F.col("n"))), F.lit(0)).alias("n_known"),
+        F.sum(flag * F.col("n")).alias("n_late"),
+    ]
+
+
+def order_counts(house: Warehouse, part: str, *keys: str) -> DataFrame:
+    """Orders, orders with a known flag, and late ones, from the summary."""
+    return summary(house, part).groupBy(*keys).agg(*_sums())
+
+
 def regroup(counts: DataFrame, *keys: str) -> DataFrame:
     """Counts added up over coarser keys."""
     return counts.groupBy(*keys).agg(
@@ -53,14 +79,14 @@ def with_mode(counts: DataFrame, house: Warehouse) -> DataFrame:
 
 def cells(house: Warehouse, region: str = "order_region") -> DataFrame:
     """Counts by region and mode."""
-    keyed = counts_by(house.table("order_grain"), "geography_id", "shipping_mode_id")
+    keyed = order_counts(house, "place_mode", "geography_id", "shipping_mode_id")
     return regroup(
         with_mode(with_region(keyed, house, region), house), region, "shipping_mode"
     )
 
 
 def late_rate_by_region(house: Warehouse) -> DataFrame:
-    keyed = counts_by(house.table("order_grain"), "geography_id")
+    keyed = order_counts(house, "place_mode", "geography_id")
     counts = regroup(with_region(keyed, house), "order_region")
     return late_rates(counts, "order_region").orderBy(
         F.desc_nulls_first("late_rate"), "order_region"
@@ -68,7 +94,7 @@ def late_rate_by_region(house: Warehouse) -> DataFrame:
 
 
 def late_rate_by_mode(house: Warehouse) -> DataFrame:
-    keyed = counts_by(house.table("order_grain"), "shipping_mode_id")
+    keyed = order_counts(house, "place_mode", "shipping_mode_id")
     return late_rates(with_mode(keyed, house), "shipping_mode").orderBy(
         F.desc_nulls_first("late_rate"), "shipping_mode"
     )
@@ -102,13 +128,21 @@ def avg_order_value_region_mode(house: Warehouse) -> DataFrame:
 def late_rate_by_order_value(
     house: Warehouse, limits: Sequence[int] = VALUE_LIMITS
 ) -> DataFrame:
-    orders = house.table("order_grain").filter("order_id is not null")
-    bucket = value_bucket(F.col("total_sales"), limits)
+    """Late rates by value bucket.
+
+    The summary answers limits with two digits and zeros, such as 100 or 250000; other
+    limits need the values themselves.
+    """
+    if all(whole_bound(limit) for limit in limits):
+        orders, value = summary(house, "value").filter("has_order"), F.col("value_bin")
+    else:
+        orders, value = house.table("order_grain").filter("order_id is not null").select(
+            "late_delivery_risk", "total_sales", F.lit(1).alias("n"),
+            F.col("total_sales").alias("smallest"),
+        ), F.col("total_sales")
+    bucket = value_bucket(value, limits)
     counts = orders.withColumn("sales_bucket", bucket).groupBy("sales_bucket").agg(
-        F.count("*").alias("n"),
-        F.count("late_delivery_risk").alias("n_known"),
-        F.sum("late_delivery_risk").alias("n_late"),
-        F.min("total_sales").alias("smallest"),
+        *_sums(), F.min("smallest").alias("smallest")
     )
     return late_rates(counts.orderBy(F.asc_nulls_last("smallest")), "sales_bucket")
 
@@ -125,7 +159,7 @@ def worst_categories(
 
 
 def late_rate_by_ship_weekday(house: Warehouse) -> DataFrame:
-    keyed = counts_by(house.table("order_grain"), "shipping_date_id")
+    keyed = order_counts(house, "ship_day", "shipping_date_id")
     days = house.table("dim_date").select(
         F.col("date_id").alias("shipping_date_id"), "weekday"
     )
@@ -136,10 +170,8 @@ def late_rate_by_ship_weekday(house: Warehouse) -> DataFrame:
 
 
 def actual_vs_scheduled_by_mode(house: Warehouse) -> DataFrame:
-    real, sched = "days_for_shipping_real", "days_for_shipment_sched"
-    keyed = house.table("order_grain").groupBy("shipping_mode_id").agg(
-        *[F.sum(c).alias(f"sum_{c}") for c in (real, sched)],
-        *[F.count(c).alias(f"n_{c}") for c in (real, sched)],
+    keyed = summary(house, "place_mode").groupBy("shipping_mode_id").agg(
+        *[F.sum(c).alias(c) for c in ("sum_real", "n_real", "sum_sched", "n_sched")]
     )
 
     def mean(c: str):
@@ -147,8 +179,8 @@ def actual_vs_scheduled_by_mode(house: Warehouse) -> DataFrame:
 
     return with_mode(keyed, house).select(
         "shipping_mode",
-        mean(real).alias("avg_actual_days"),
-        mean(sched).alias("avg_scheduled_days"),
+        mean("real").alias("avg_actual_days"),
+        mean("sched").alias("avg_scheduled_days"),
     ).orderBy("shipping_mode")
 
 
@@ -193,11 +225,7 @@ def late_rate_pivot(
 
 
 def overall_late_rate(house: Warehouse) -> DataFrame:
-    total = house.table("order_grain").agg(
-        F.count("*").alias("n"),
-        F.count("late_delivery_risk").alias("n_known"),
-        F.sum("late_delivery_risk").alias("n_late"),
-    )
+    total = summary(house, "place_mode").agg(*_sums())
     return late_rates(total)
 
 

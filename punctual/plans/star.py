@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual import schema
-from punctual.functions.scalar import same_key, weekday_name
+from punctual.functions.scalar import leading_digits, same_key, weekday_name
 from punctual.operators import key_filter
 from punctual.operators.keys import attach_key, drop_repeats, first_by, with_dense_id
 from punctual.session import materialize
-from punctual.sources.warehouse import Warehouse
+from punctual.sources.warehouse import Warehouse, bucket_of
 
 
 def _latest_attributes(staging: DataFrame, key: str, attributes: list[str]) -> DataFrame:
@@ -189,6 +189,43 @@ def merge_orders(parts: DataFrame, fact: DataFrame) -> DataFrame:
     return versions.join(keys, here, "left_anti").unionByName(several)
 
 
+def order_summary(orders: DataFrame, buckets: int) -> DataFrame:
+    """Counts of orders by bucket of the order table, late flag and three sets of keys.
+
+    ``part`` names the set of a row: ``place_mode``, ``ship_day`` or ``value``, the first
+    two digits of the order's total. Every order counts once in each. Coarser questions
+    add the counts up. A bucket's rows depend on the orders of that bucket alone, so they
+    can be replaced together with it. The number of rows is bounded by the dimensions.
+    """
+    real, sched = "days_for_shipping_real", "days_for_shipment_sched"
+    keyed = orders.select(
+        bucket_of(schema.BUCKETED["order_grain"], buckets).alias("order_bucket"),
+        F.col("order_id").isNotNull().alias("has_order"),
+        "geography_id", "shipping_mode_id", "shipping_date_id",
+        leading_digits(F.col("total_sales")).alias("value_bin"),
+        "late_delivery_risk", real, sched, "total_sales",
+    )
+    shared = ["order_bucket", "has_order", "late_delivery_risk"]
+    own = {
+        "place_mode": ["geography_id", "shipping_mode_id"],
+        "ship_day": ["shipping_date_id"],
+        "value": ["value_bin"],
+    }
+    part = F.lit(None).cast("string")
+    for name, keys in own.items():
+        part = F.when(F.grouping(keys[0]) == 0, name).otherwise(part)
+    counted = keyed.groupingSets(
+        [[F.col(c) for c in [*shared, *keys]] for keys in own.values()],
+        *[F.col(c) for c in [*shared, *sum(own.values(), [])]],
+    ).agg(
+        part.alias("part"), F.count("*").alias("n"),
+        F.sum(real).alias("sum_real"), F.count(real).alias("n_real"),
+        F.sum(sched).alias("sum_sched"), F.count(sched).alias("n_sched"),
+        F.min("total_sales").alias("smallest"),
+    )
+    return counted.select(*schema.table_schemas()[schema.SUMMARY].fieldNames())
+
+
 def v_orders(orders: DataFrame) -> DataFrame:
     """The nine columns of the published order view."""
     return orders.select(*schema.V_ORDERS)
@@ -197,7 +234,7 @@ def v_orders(orders: DataFrame) -> DataFrame:
 def register_views(house: Warehouse, prefix: str = "") -> None:
     """Temporary views, so that SQL text can name the tables and the order view."""
     for name in schema.table_schemas():
-        if name not in ("order_grain", schema.TOUCHED, schema.FACT_FILTER):
+        if name not in ("order_grain", schema.TOUCHED, schema.FACT_FILTER, schema.SUMMARY):
             house.table(name).createOrReplaceTempView(prefix + name)
     v_orders(house.table("order_grain")).createOrReplaceTempView(prefix + "v_orders")
 
@@ -235,5 +272,6 @@ def build(
     items = house.write("fact_order_items", fact)
     write_filter(house, "fact_order_items")
     orders = house.write("order_grain", order_grain(items))
+    house.write(schema.SUMMARY, order_summary(orders, house.buckets))
     house.write(schema.TOUCHED, spark.createDataFrame([], orders.schema))
     return house.publish()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctual.functions.tails import chi_square_p, student_p
+from punctual.plans.diagnose import summary
 from punctual.plans.estimability import check_estimable
 from punctual.sources.warehouse import Warehouse
 
@@ -103,6 +104,23 @@ def chi_square(rows: DataFrame, variable: str, label: str = LABEL) -> DataFrame:
     return result.select(F.lit(variable).alias("variable"), "*")
 
 
+def chi_square_of_orders(house: Warehouse, variable: str) -> DataFrame:
+    """The test for ``variable``, of the place or the mode, and the orders' late flag, from
+    the summary of orders; the same orders count as in ``order_features``."""
+    keys = ["geography_id", "shipping_mode_id"]
+    counted = summary(house, "place_mode").filter("has_order").groupBy(*keys, LABEL).agg(
+        F.sum("n").alias("n")
+    )
+    named = counted.join(house.table("dim_geography"), keys[0]).join(
+        house.table("dim_shipping_mode"), keys[1]
+    ).filter(F.col(variable).isNotNull() & F.col(LABEL).isNotNull())
+    table = named.groupBy(
+        F.col(variable).cast("string").alias("row_value"),
+        F.col(LABEL).cast("string").alias("column_value"),
+    ).agg(F.sum("n").alias("n"))
+    return chi_square_of(table).select(F.lit(variable).alias("variable"), "*")
+
+
 def welch(rows: DataFrame, value: str = "total_sales", label: str = LABEL) -> DataFrame:
     """Two-sample t-test without equal variances, late against on time."""
     number = F.col(value).cast("double")

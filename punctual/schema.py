@@ -16,6 +16,8 @@ AMOUNT = T.DecimalType(38, 18)
 TOUCHED = "touched_orders"
 # Bit arrays that tell which folders of the fact cannot hold an item key.
 FACT_FILTER = "fact_filter"
+# Counts of orders by several sets of keys, for every bucket of the order table.
+SUMMARY = "order_summary"
 # Tables with one folder per hash bucket of a key.
 BUCKETED = {"fact_order_items": "order_item_id", "order_grain": "order_id"}
 
@@ -109,4 +111,12 @@ def table_schemas(
         ),
         "order_grain": grain,
         TOUCHED: grain,
+        SUMMARY: layout(
+            "order_bucket", "part", "has_order", "geography_id", "shipping_mode_id",
+            "shipping_date_id", "value_bin", "late_delivery_risk", "n",
+            "sum_real", "n_real", "sum_sched", "n_sched", "smallest",
+            **keys, order_bucket=INT, part=TEXT, has_order=T.BooleanType(),
+            value_bin=T.DecimalType(38, 0), n=LONG, sum_real=LONG, n_real=LONG,
+            sum_sched=LONG, n_sched=LONG, smallest=total,
+        ),
     }
