@@ -5,12 +5,15 @@ mention is reduced to canonical entities (a telephone number to its digits, a na
 parts), and every canonical entity gets one surrogate from a keyed digest. So the same
 entity has the same surrogate in every text and in every notation. Surrogates keep type,
 format, script, letter case, and for names the gender. A surrogate that equals a real
-entity, or that of another entity, is drawn again until all are distinct. DataFrame
+entity, or that of another entity, is drawn again until all are distinct. Parts of a name
+that a title introduces are replaced wherever they recur in the same text. DataFrame
 operations only.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +58,9 @@ LETTERS = {
 }
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
 # Repeated groups recurse per repetition, so they are bounded or without a way back.
-_NAME = r"\p{Lu}\p{L}+(?:[-'’]\p{Lu}\p{L}+)*+"
+_NAME = rf"(?!(?:{_TITLE})(?!\p{{L}}))\p{{Lu}}\p{{L}}+(?:[-'’]\p{{Lu}}\p{{L}}+)*+"
+_INITIAL = r"\p{Lu}\.(?:-?\p{Lu}\.){0,2}"
+_STACK = rf"(?:{_TITLE})\.?(?: (?:{_TITLE})\.?){{0,3}}"
 MOST_LABELS = 126  # besides the first and the last; a host has 253 characters
 
 # Kinds in the order in which they are tried at a position.
@@ -68,9 +73,20 @@ PATTERNS = {
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
              r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
-    "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "name": rf"(?<!\p{{L}}){_STACK}(?: {_INITIAL}){{0,3}} {_NAME}(?: (?:{_INITIAL} )?{_NAME}){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# The same, and single words that may be a known part of a name.
+WIDE = rf"{ANY}|(?<!\p{{L}}){_NAME}"
+# How cards group their digits, and the capitals of initials, by script; fixed values.
+CARD_SHAPES = [
+    r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}", r"\d{4}(?:[ -]\d{4}){3}", r"\d{4}[ -]\d{6}[ -]\d{4,5}",
+    r"\d{13,19}",
+]
+CAPITALS = [
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+]
+SHORTEST_ACCOUNT = 15
 # What a text must hold before its patterns are tried; cheap to look for.
 _SPLIT = [(t[0], t[1:]) for group in TITLES.values() for t in group]
 _INITIALS, _RESTS = ("".join(sorted({i for i, _ in _SPLIT})), "|".join(sorted({r for _, r in _SPLIT})))
@@ -131,33 +147,76 @@ def _kind(mention: Column) -> Column:
     return out
 
 
+def _core(mention: Column) -> Column:
+    """The card or account number inside a mention whose check digits fail as a whole.
+
+    What follows a number in the same notation (a security code, a year, a currency) is
+    cut off at a blank or hyphen; the longest number whose check digits hold counts. Null
+    if there is none.
+    """
+    cards = F.concat(*[
+        F.regexp_extract_all(mention, F.lit(rf"(?<!\d)(?=({shape})(?!\d))"), F.lit(1))
+        for shape in CARD_SHAPES
+    ])
+    card = F.get(F.filter(cards, lambda c: _check_sum(_digits(c)) % 10 == 0), F.lit(0))
+    groups = F.split(mention, " ")
+    accounts = F.transform(
+        F.sequence(F.size(groups), F.lit(1), F.lit(-1)),
+        lambda n: F.array_join(F.slice(groups, F.lit(1), n), " "),
+    )
+
+    def holds(account: Column) -> Column:
+        plain = F.replace(account, F.lit(" "), F.lit(""))
+        return (F.length(plain) >= SHORTEST_ACCOUNT) & (_mod97(plain) == 1)
+
+    account = F.get(F.filter(accounts, holds), F.lit(0))
+    return F.when(mention.rlike(f"^(?:{PATTERNS['card']})$"), card).when(
+        mention.rlike(f"^(?:{PATTERNS['iban']})$"), account)
+
+
 def _script(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(
         text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _gender(title: Column) -> Column:
-    return F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
+def _gender(titles: Column) -> Column:
+    """Gender that a row of titles states."""
+    words = F.transform(F.split(F.trim(titles), " "), lambda t: F.rtrim(t, F.lit(".")))
+    return F.when(F.exists(words, lambda t: t.isin(TITLES["f"])), "f").when(
+        F.exists(words, lambda t: t.isin(TITLES["m"])), "m").otherwise("n")
+
+
+def _titles(mention: Column) -> Column:
+    """The titles of a name, with the blank after them."""
+    return F.regexp_extract(mention, rf"^{_STACK} ", 0)
+
+
+def _name_words(mention: Column) -> Column:
+    return F.split(F.substr(mention, F.length(_titles(mention)) + 1), " ")
+
+
+def _initials(word: Column) -> Column:
+    return word.endswith(".")
 
 
 def _parts(mention: Column, kind: Column) -> Column:
     """Canonical entities of a mention, in order: ``(type, canon, at)``.
 
-    Two for an address (the person and the host), one per word for a name, else one.
+    Two for an address (the person and the host), one per full word for a name, else one.
     """
     def part(kind_, canon, at=0):
         at = F.lit(at) if isinstance(at, int) else at
         return F.struct(kind_.alias("type"), canon.alias("canon"), at.alias("at"))
 
     low = F.lower(mention)
-    words = F.split(mention, " ")
+    words = _name_words(mention)
     last = F.size(words) - 1
-    gender = _gender(F.rtrim(words[0], F.lit(".")))
-    name = F.transform(F.slice(words, 2, 8), lambda w, i: part(
-        F.concat_ws(":", F.when(i + 1 == last, F.lit("family")).otherwise(
+    gender = _gender(_titles(mention))
+    name = F.filter(F.transform(words, lambda w, i: part(
+        F.concat_ws(":", F.when(i == last, F.lit("family")).otherwise(
             F.concat(F.lit("given-"), gender)), _script(w)),
         F.lower(w), i,
-    ))
+    )), lambda p: ~_initials(p["canon"]))
     return (
         F.when(kind == "email", F.array(
             part(F.lit("user"), F.regexp_extract(low, "^(.*)@", 1)),
@@ -298,32 +357,81 @@ def _cased(word: Column, like: Column) -> Column:
     return F.when((F.upper(like) == like) & (F.length(like) > 1), F.upper(word)).otherwise(capital)
 
 
-def _written(mention: Column, kind: Column, parts: Column) -> Column:
-    """The replacement of a mention from the surrogates of its parts, in order."""
-    address = F.concat_ws("@", parts[0], parts[1])
+def _moved(initials: Column, key: str) -> Column:
+    """Other capitals for those of initials: one by one, by a keyed turn of the alphabet."""
+    out = initials
+    for capitals in CAPITALS:
+        by = 1 + zlib.crc32(f"{key}|{capitals}".encode()) % (len(capitals) - 1)
+        out = F.translate(out, capitals, capitals[by:] + capitals[:by])
+    return out
+
+
+def _written(mention: Column, kind: Column, parts: Column, key: str) -> Column:
+    """The replacement of a mention from ``parts``, the surrogates of its parts with their
+    places, in order."""
+    plain = parts["surrogate"]
+    address = F.concat_ws("@", plain[0], plain[1])
     address = F.when(F.upper(mention) == mention, F.upper(address)).otherwise(address)
-    words = F.split(mention, " ")
-    name = F.concat_ws(" ", words[0], F.array_join(F.transform(
-        parts, lambda p, i: _cased(p, F.get(words, i + 1))), " "))
+    name = F.concat(_titles(mention), F.array_join(F.transform(
+        _name_words(mention), lambda w, i: F.when(_initials(w), _moved(w, key)).otherwise(
+            _cased(F.get(F.filter(parts, lambda p: p["at"] == i), F.lit(0))["surrogate"], w))
+    ), " "))
     return F.when(kind == "email", address).when(kind == "name", name).when(
-        kind == "ip", parts[0]).otherwise(_poured(mention, parts[0]))
+        kind == "ip", plain[0]).otherwise(_poured(mention, plain[0]))
+
+
+def _agreed(parts: DataFrame) -> DataFrame:
+    """``parts`` with one gender per given name: the one that titles state anywhere, neutral
+    if none does or both occur."""
+    given = F.col("type").startswith("given-")
+    script = F.substring_index("type", ":", -1)
+    stated = parts.filter(given).groupBy(script.alias("_script"), F.col("canon").alias("_canon")).agg(
+        F.bool_or(F.col("type").startswith("given-m")).alias("m"),
+        F.bool_or(F.col("type").startswith("given-f")).alias("f"),
+    )
+    gender = F.when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("n")
+    types = materialize(stated.select(
+        "_canon", "_script", F.concat(F.lit("given-"), gender, F.lit(":"), "_script").alias("_type")
+    ), "given")
+    here = given & (script == F.col("_script")) & (F.col("canon") == F.col("_canon"))
+    return parts.join(types, here, "left").withColumn("type", F.coalesce("_type", "type")).drop(
+        "_type", "_canon", "_script")
 
 
 def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
-    """``(mention, kind, written)`` for distinct ``mentions(mention)``; a mention that
-    fails its check has no row."""
-    kinds = materialize(mentions.select("mention").distinct().withColumn(
-        "kind", _kind(F.col("mention"))).filter("kind is not null"), "mentions")
-    parts = kinds.select(
-        "mention", "kind", F.explode(_parts(F.col("mention"), F.col("kind"))).alias("part")
-    ).select("mention", "kind", "part.*")
+    """``(mention, kind, written, names)`` for distinct ``mentions(mention)``; a mention that
+    fails its check has no row. ``names`` are the parts of a name with their surrogates."""
+    judged = mentions.select("mention").distinct().withColumn("kind", _kind(F.col("mention")))
+    core = F.when(F.col("kind").isNull(), _core(F.col("mention"))).otherwise(F.col("mention"))
+    kinds = materialize(judged.withColumn("core", core).filter("core is not null").withColumn(
+        "kind", F.coalesce("kind", _kind(F.col("core")))).filter("kind is not null"), "mentions")
+    parts = materialize(_agreed(kinds.select(
+        "mention", "core", "kind", F.explode(_parts(F.col("core"), F.col("kind"))).alias("part")
+    ).select("mention", "core", "kind", "part.*")), "parts")
     drawn = surrogates(parts, key)
-    joined = parts.join(drawn, ["type", "canon"]).groupBy("mention", "kind").agg(
-        F.array_sort(F.collect_list(F.struct("at", "surrogate"))).alias("parts"))
-    return materialize(joined.select(
-        "mention", "kind",
-        _written(F.col("mention"), F.col("kind"), F.col("parts.surrogate")).alias("written"),
-    ), "written")
+    joined = parts.join(drawn, ["type", "canon"]).groupBy("mention", "core", "kind").agg(
+        F.array_sort(F.collect_list(F.struct("at", "surrogate", "canon", "type"))).alias("parts"))
+    before = F.position("core", "mention") - 1
+    names = F.when(F.col("kind") == "name", F.transform("parts", lambda p: F.struct(
+        p["canon"].alias("canon"), p["type"].alias("type"), p["surrogate"].alias("surrogate"))))
+    return materialize(joined.select("mention", "kind", F.concat(
+        F.substr("mention", F.lit(1), before),
+        _written(F.col("core"), F.col("kind"), F.col("parts"), key),
+        F.substr("mention", before + F.length("core") + 1),
+    ).alias("written"), names.alias("names")), "written")
+
+
+def _recurring(placed: DataFrame) -> DataFrame:
+    """``placed`` with the surrogates of words that are parts of a name of the same text."""
+    text = ["k1", "k2"]
+    known = placed.filter("wide and kind = 'name'").select(*text, F.explode("names").alias("name")).select(
+        *text, F.col("name.canon").alias("canon"), "name.type", "name.surrogate"
+    ).groupBy(*text, "canon").agg(F.min(F.struct("type", "surrogate"))["surrogate"].alias("known"))
+    word = F.when(F.col("wide") & F.col("kind").isNull(), F.lower("mention"))
+    joined = placed.withColumn("canon", word).join(known, [*text, "canon"], "left")
+    return joined.withColumn("kind", F.coalesce("kind", F.when(F.col("known").isNotNull(), "name"))).withColumn(
+        "written", F.coalesce("written", _cased(F.col("known"), F.col("mention")))
+    ).select(*text, "pos", "mention", "wide", "kind", "written")
 
 
 def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -331,7 +439,10 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     ``n_entities`` is the number of replaced mentions of the row and ``kinds`` their
     kinds, sorted and without repetition. Only rows in which a pattern matches are
-    joined; a text that occurs in many rows is looked at once.
+    joined; a text that occurs in many rows is looked at once. A capitalized word that is
+    part of a titled name of the same text is a mention too. Initials become others by a
+    fixed turn of the alphabet; a given name has one surrogate, whatever title stands
+    before it.
 
     A null text stays null; a text without personal data stays as it is, character by
     character. Repeated rows and equal texts get equal replacements. A null ``doc_id``
@@ -345,14 +456,21 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         _matches(text).alias("hit"),
         F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"),
     )
+    plain = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+    wide = F.regexp_extract_all("text", F.lit(WIDE), F.lit(0))
+    titled = F.flatten(F.transform(
+        F.filter(plain, lambda m: m.rlike(f"^{_STACK} ")), lambda m: F.split(F.lower(m), " ")))
+    again = F.col("text").rlike(TITLE) & (
+        F.size(F.array_intersect(F.transform(wide, lambda m: F.lower(m)), titled)) > 0)
     found = held.filter("hit").select(
-        "k1", "k2", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("mentions")
+        "k1", "k2", "text", F.coalesce(again, F.lit(False)).alias("wide")
+    ).select("k1", "k2", "wide", F.when(F.col("wide"), wide).otherwise(plain).alias("mentions")
     ).dropDuplicates(["k1", "k2"])
-    placed = materialize(
-        found.select("k1", "k2", F.posexplode("mentions").alias("pos", "mention")), "found"
-    )
+    placed = materialize(found.select(
+        "k1", "k2", "wide", F.posexplode("mentions").alias("pos", "mention")), "found")
     written = replacements(placed, key)
-    per_text = materialize(placed.join(written, "mention", "left").groupBy("k1", "k2").agg(
+    put = _recurring(placed.join(written, "mention", "left"))
+    per_text = materialize(put.groupBy("k1", "k2", "wide").agg(
         F.array_sort(F.collect_list(F.struct(
             "pos", F.coalesce("written", "mention").alias("written")))).alias("put"),
         F.count("kind").alias("n_entities"),
@@ -367,7 +485,8 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     none = F.array().cast("array<string>")
     untouched = held.filter("not hit").select(*out(F.col("row.text"), F.lit(0), none))
-    rebuilt = F.array_join(F.transform(F.split("text", ANY, -1), lambda gap, i: F.concat(
+    gaps = F.when(F.col("wide"), F.split("text", WIDE, -1)).otherwise(F.split("text", ANY, -1))
+    rebuilt = F.array_join(F.transform(gaps, lambda gap, i: F.concat(
         gap, F.coalesce(F.get("put", i), F.lit("")))), "")
     touched = held.filter("hit").join(per_text, ["k1", "k2"]).select(
         *out(rebuilt, F.col("n_entities"), F.col("kinds")))

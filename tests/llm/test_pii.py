@@ -145,3 +145,73 @@ def test_a_megabyte_of_each_patterns_own_repetition(documents):
     few = replaced(documents, "to a@" + "b." * 60 + "com now", "Mr Ab-Cd-Ef Gh-Ij left")
     assert few[0].n_entities == 1 and few[0].text.endswith(".example now")
     assert few[1].n_entities == 1 and few[1].text.endswith(" left") and "Cd" not in few[1].text
+
+
+def test_numbers_with_something_after_them(documents):
+    out = replaced(
+        documents, "card 4111 1111 1111 1111 123 ok", "card 4111 1111 1111 1111 12/27", "to BE68 5390 0754 7034 EUR",
+        "4111-1111-1111-1111-99 x", "amex 3782 822463 10005 1234", "ref 123 4111 1111 1111 1111",
+        "DE89370400440532013000 EUR", "no 4111 1111 1111 1112 123", "DE88 3704 0044 0532 0130 00 EUR")
+    shapes = [
+        r"card 4\d{3}( \d{4}){3} 123 ok", r"card 4\d{3}( \d{4}){3} 12/27", r"to BE\d\d( \d{4}){3} EUR",
+        r"4\d{3}(-\d{4}){3}-99 x", r"amex 3\d{3} \d{6} \d{5} 1234", r"ref 123 4\d{3}( \d{4}){3}",
+        r"DE\d{20} EUR",
+    ]
+    for r, shape in zip(out, shapes):
+        assert re.fullmatch(shape, r.text), r.text
+        assert r.n_entities == 1
+        assert not any(x in r.text for x in ["1111 1111", "1111-1111", "5390", "822463", "3704"]), r.text
+    assert [r.n_entities for r in out[7:]] == [0, 0]
+    assert out[7].text == "no 4111 1111 1111 1112 123"
+    # The surrogate is that of the number alone.
+    alone = replaced(documents, "4111 1111 1111 1111", "4111 1111 1111 1111 123")
+    assert alone[1].text == alone[0].text + " 123"
+
+
+def test_titles_in_a_row_and_initials(documents):
+    out = [r.text for r in replaced(
+        documents, "Herr Dr. Müller kam", "Prof. Dr. Anna Weber", "Mr John F. Kennedy died",
+        "Mr J. F. Kennedy", "Mr J.-P. Kennedy", "Dr", "Herr Dr und Frau", "Mrs K. Kennedy")]
+    assert re.fullmatch(r"Herr Dr\. \p{L}+ kam".replace(r"\p{L}", r"[^\W\d_]"), out[0]) and "Müller" not in out[0]
+    assert out[1].startswith("Prof. Dr. ") and "Anna" not in out[1] and "Weber" not in out[1]
+    john = out[2].split()
+    assert john[0] == "Mr" and john[1] in pii.GIVEN["latin", "m"] and "Kennedy" not in out[2]
+    assert re.fullmatch(r"[A-EG-Z]\.", john[2]) and john[-1] == "died"
+    family = john[3]
+    assert out[3].split()[-1] == out[4].split()[-1] == out[7].split()[-1] == family
+    assert out[3].split()[1:3] == [out[4].split()[1].split("-")[0], john[2]]
+    assert out[3].split()[1] != out[7].split()[1]  # other initials stay others
+    assert out[5:7] == ["Dr", "Herr Dr und Frau"]
+
+
+def test_parts_of_a_name_recur_without_title(documents):
+    out = replaced(
+        documents, "Frau Anna Weber came. Later Weber left, WEBER's car and Anna too; weber wept.",
+        "Weber alone has no title here", "Mr Price saw the price. Dr Lee rested. Lee, Price!")
+    text = out[0].text
+    assert not re.search("Weber|WEBER|Anna", text) and text.endswith("weber wept.")
+    first, family = text.split()[1], text.split()[2]
+    assert f"Later {family} left, {family.upper()}'s car and {first} too" in text
+    assert out[0].n_entities == 4 and out[0].kinds == ["name"]
+    assert out[1].text == "Weber alone has no title here"
+    assert "the price." in out[2].text and not re.search("Price|Lee", out[2].text)
+
+
+def test_a_given_name_has_one_surrogate(documents):
+    out = replaced(documents, "Dr Anna Weber", "Frau Anna Lang", "Mr Robin Weber", "Mrs Robin Lang", "Dr Zed Lang")
+    names = [r.text.split()[1] for r in out]
+    assert names[0] == names[1] and names[0].split("-")[0] in pii.GIVEN["latin", "f"]
+    assert names[2] == names[3] and names[2] in pii.GIVEN["latin", "n"]
+    assert names[4] in pii.GIVEN["latin", "n"]
+
+
+def test_a_megabyte_of_names_and_recurrences(documents):
+    texts = ["Mr Ab " + "Ab " * 300_000, "Dr " * 300_000 + "Ab", "Mr " + "A. " * 300_000 + "Ab",
+             "Mr A" + ".B" * 300_000 + ". Ab", "Frau Ab. " + "Cd-Ef " * 170_000 + "Ab"]
+    out = replaced(documents, *texts)
+    # The title takes three words; each of the others is a mention of its own.
+    assert out[0].n_entities == 299_999 and "Ab " not in out[0].text
+    assert out[1].n_entities == 1 and not out[1].text.endswith("Ab")
+    assert out[4].n_entities == 2 and out[4].text.count("Cd-Ef ") == 170_000
+    # Titles and initials beyond any name's do not bring a match.
+    assert out[2].text == texts[2] and out[3].text == texts[3]
