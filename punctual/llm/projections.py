@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED = 23
 DIMENSIONS = 8  # even, which gives the chi-square distribution a closed form
+# Numbers in a matrix of queries by cells.
+MOST_GAPS = 1 << 22
 # Certainty at which a query stops.
 CERTAINTY = 0.95
 # The upper tree is fitted on at most this many rows; all rows are indexed.
@@ -226,20 +229,22 @@ def _visit(asked: DataFrame, points: DataFrame, counts: DataFrame, k: int, large
 def _other_cells(boxes: tuple[np.ndarray, np.ndarray, np.ndarray], largest: float, fields):
     cells, low, high = boxes
 
+    step = max(1, MOST_GAPS // len(cells))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors, home = matrix(batch.column("vector")), batch.column("cell").to_numpy()
-            reach = np.einsum("ij,ij->i", vectors, vectors) + largest
-            reach = np.maximum(reach - 2 * batch.column("bar").to_numpy(), 0)
-            gaps = _gaps(matrix(batch.column("place")), low, high)
-            open_cells = ~_stops(gaps, reach[:, None]) & (home[:, None] != cells)
-            row, at = np.nonzero(open_cells)
-            taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(cells[at]) if f == "cell" else taken.column(f) for f in fields
-            ], fields)
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                vectors, home = matrix(batch.column("vector")), batch.column("cell").to_numpy()
+                reach = np.einsum("ij,ij->i", vectors, vectors) + largest
+                reach = np.maximum(reach - 2 * batch.column("bar").to_numpy(), 0)
+                gaps = _gaps(matrix(batch.column("place")), low, high)
+                open_cells = ~_stops(gaps, reach[:, None]) & (home[:, None] != cells)
+                row, at = np.nonzero(open_cells)
+                taken = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(cells[at]) if f == "cell" else taken.column(f) for f in fields
+                ], fields)
     return run
 
 
@@ -253,16 +258,32 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     a query with fewer candidates gets them all.
 
     Vectors that are null, empty or zero, or hold a null or a value that is not finite,
-    take no part; all others must have the same length. Repeated rows are rows of their
-    own. An empty table gives an empty result; further columns are ignored.
+    take no part. Vectors of different lengths have no inner product: a query's candidates
+    are the vectors of its own length, and every length is searched for itself. Repeated
+    rows are rows of their own. An empty table gives an empty result; further columns are
+    ignored.
     """
     stored = materialize(vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"), usable(F.col("embedding")).alias("usable"),
     ).filter("usable").drop("usable").withColumn("row", F.monotonically_increasing_id()), "vectors")
-    length = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    count, largest = stored.agg(F.count("*"), F.coalesce(F.max(length), F.lit(0.0))).first()
+    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    lengths = stored.groupBy(F.size("vector").alias("length")).agg(
+        F.count("*").alias("count"), F.max(square).alias("largest")
+    ).orderBy("length").collect()  # one row for each length, mostly one
+    found = [
+        _nearest_of_length(
+            stored if len(lengths) == 1 else stored.filter(F.size("vector") == r["length"]),
+            r["count"], r["largest"], k,
+        ) for r in lengths
+    ]
+    return reduce(DataFrame.unionByName, found) if found else _nearest_of_length(stored, 0, 0.0, k)
+
+
+def _nearest_of_length(stored: DataFrame, count: int, largest: float, k: int) -> DataFrame:
+    """The search among ``count`` vectors of one length, the longest of which has the
+    square ``largest``."""
     layout = T.StructType(POINT)
     plain = stored.select("row", "vec_id", "vector")
     depth = min(int(math.log2(MOST_CELLS)), max(0, math.ceil(math.log2(max(count, 1) / CELL_ROWS))))

@@ -157,6 +157,21 @@ def test_few_candidates_are_all_returned(spark):
     assert [r.vec_id for r in sorted(out, key=lambda r: r["rank"])] == [1, 2, 3, 4]
 
 
+def test_lengths_are_searched_each_for_itself(spark, monkeypatch):
+    monkeypatch.setattr(projections, "CELL_ROWS", 64)
+    monkeypatch.setattr(projections, "MOST_GAPS", 16)  # a few queries at a time
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal([3, 8, 8, 8, 8][i % 5]).tolist(), 0) for i in range(500)]
+    rows += [(1000, [1.0] * 5, 0)]  # alone: no candidates
+    out = projections.nearest(table(spark, rows), F.col("vec_id") % 4 == 0, k=6).collect()
+    by_length = {r[0]: len(r[1]) for r in rows}
+    assert all(by_length[r.query_id] == by_length[r.vec_id] for r in out)
+    for width in (3, 8):
+        own = [r for r in rows if len(r[1]) == width]
+        assert recall([r for r in out if by_length[r.query_id] == width], own, 6, 4) >= 0.9
+    assert {by_length[r.query_id] for r in out} == {3, 8}
+
+
 def test_chi_square():
     # Known values: medians and a tail of the law with eight dimensions.
     assert projections.chi_square(np.array([7.344121]), 8)[0] == pytest.approx(0.5, abs=1e-6)
