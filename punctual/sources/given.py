@@ -10,6 +10,10 @@ from punctual.session import scratch_path, sized_shuffles
 from punctual.sources.retail import TABLES, read_tables, staging_from_tables
 from punctual.sources.warehouse import Warehouse
 
+# A byte of the given tables becomes so many in the joins, whose rows are wide: with fewer
+# partitions their sorts spill.
+WIDENING = 16
+
 _built: dict[tuple, Warehouse] = {}
 
 
@@ -34,7 +38,7 @@ def warehouse_for(spark: SparkSession, folder: str) -> Warehouse:
     content = _content(spark, folder)
     key = (spark.sparkContext.applicationId, folder, content)
     if key not in _built:
-        with sized_shuffles(spark, content[0] or 0):
+        with sized_shuffles(spark, WIDENING * (content[0] or 0)):
             staging = staging_from_tables(read_tables(spark, folder))
             _built[key] = build(spark, staging, scratch_path(spark, "warehouse"))
     return _built[key]
