@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from punctual.plans import diagnose as dg
@@ -84,3 +85,17 @@ def test_lines_are_shuffled_as_raw_columns(spark):
 
 def test_nothing_is_read_for_listing_dimensions_but_the_dimension(given):
     assert len(read_schemas(dg.distinct_regions(given))) == 1
+
+
+def test_a_key_is_one_row_of_its_filter(spark):
+    from punctual.operators import key_filter
+
+    keys = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    filters = key_filter.filter_rows(keys, "k", "here", 2)
+    assert "Generate" not in plan(filters, "simple")
+    # All bits of a key are in one word.
+    words = keys.select(key_filter._positions("k", F.lit(94)).alias("p")).select(
+        F.size("p").alias("n"), F.size(F.array_distinct("p")).alias("bits"),
+        F.size(F.array_distinct(F.transform("p", lambda x: F.shiftright(x, 6)))).alias("words"),
+    ).distinct().collect()
+    assert [tuple(r) for r in words] == [(key_filter.HASHES, key_filter.HASHES, 1)]
