@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctual.session import materialize
+
 # Patterns that are tried, and the numbers that each of their fields holds.
 PATTERNS = [
     "M/d/yyyy H:mm", "d/M/yyyy H:mm", "M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss", "M/d/yyyy",
@@ -98,7 +100,8 @@ def format_report(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
     (no value contradicts) and ``n_rivals``, the other possible patterns of that shape:
     more than none means that the values cannot tell.
     """
-    counts = shape_counts(raw, columns)
+    # Some rows per column, which are read several times; the values are read once.
+    counts = materialize(shape_counts(raw, columns), "shapes")
     totals = counts.groupBy("column_name").agg(F.sum("n").alias("n_present"))
     candidates = F.explode(F.array(*[
         F.struct(
