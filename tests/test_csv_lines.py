@@ -123,3 +123,20 @@ def test_loading_without_a_pattern(spark, tmp_path):
     assert [r["order_date"] for r in rows] == [datetime.date(2018, 1, 31), datetime.date(2018, 2, 28), None]
     assert [r["shipping_date"] for r in rows] == [
         datetime.date(2018, 2, 3), datetime.date(2018, 2, 4), None]
+
+
+def test_the_values_are_read_once_for_a_report(spark, tmp_path):
+    """The report is made of the written counts by shape, not of the file again."""
+    (tmp_path / "raw.csv").write_text("d,e\n1/31/2018,2018-01-31\n12/1/2017,2017-12-01\n")
+    raw = csv_files.read_csv(spark, str(tmp_path))
+    report = date_formats.format_report(raw, ["d", "e"])
+    assert report.inputFiles() and not any(f.endswith(".csv") for f in report.inputFiles())
+    assert {r["column_name"]: r["pattern"] for r in report.filter("possible").collect()} == {
+        "d": "M/d/yyyy", "e": "yyyy-M-d"}
+
+
+def test_records_inside_a_range_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "whole.csv").write_text('a,b\n1,"two\nlines"\n2,"and\n\nthree"\n')
+    found = csv_lines.records(spark, str(tmp_path), "ISO-8859-1")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["text"] for r in found.collect()) == ['1,"two\nlines"', '2,"and\n\nthree"', "a,b"]

@@ -184,3 +184,18 @@ def test_profile_counts_values_by_column(spark, staging):
     assert got["order_city"]["n_non_null"] == 1 and got["order_city"]["n_rows"] == 2
     assert got["order_date"]["data_type"] == "date"
     assert got["row_id"]["n_non_null"] == 0
+
+
+def test_written_files_are_compressed_and_small(spark, staging, tmp_path, monkeypatch):
+    """Compressed files are read by one task each, so their rows are bounded."""
+    monkeypatch.setattr(csv_files, "FILE_ROWS", 3)
+    rows = staging(*[
+        {"order_id": i, "order_item_id": i, "product_name": f'n{i}\n"q", é'} for i in range(10)
+    ]).coalesce(1)
+    path = str(tmp_path / "out")
+    csv_files.write_csv(rows, path)
+    files = [p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".csv.gz") for f in files)
+    back = csv_files.load_csv(spark, path, schema=rows.schema)
+    assert sorted((r["order_id"], r["product_name"]) for r in back.collect()) == [
+        (i, f'n{i}\n"q", é') for i in range(10)]
