@@ -1,13 +1,18 @@
 """Language-model scores of a hashed maximum-entropy model with class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). The most frequent words are
+P(word | history) = P(class | history) * P(word | class, history). The most frequent words are
 classes of their own; every other word falls into a class by its last bytes, which also
 places words that were never seen. Endings that follow the same words are one class
 (k-means over a bounded table of co-occurrences). The class softmax adds up weights of hashed features
 of the history: a bias, the three previous words one by one (the second and third are
 skip features) and the pair of the last two. It is trained by gradient updates that all
-tasks make on their own texts; after each round the tasks' updates are averaged. Inside
-a class, words have smoothed relative frequencies.
+tasks make on their own texts; after each round the tasks' updates are averaged.
+
+Inside a class, a hierarchical softmax leads to the word: a binary tree over the bits of
+the word's hash, as deep as the vocabulary asks for. The odds of a branch are those of the
+counts below it, changed by weights of hashed features: each node together with the
+previous word, and with the pair of the last two. They are learnt along with those of the
+classes. The few words that share a leaf have their smoothed relative frequencies there.
 
 Sums over words outside the bounded head list come from a join of the written word
 counts, so that no vocabulary is sent whole to a task.
@@ -48,6 +53,10 @@ ROUNDS = 3
 STEP = 0.25
 BATCH = 2048
 COUNT_BITS = 36
+TREE_DEPTH = 12  # bits of a word's hash that tell the words of a class apart, at most
+LEAF_WORDS = 4  # distinct words of a leaf, at least, on average
+TREE_BITS = 19  # hashed weights of tree nodes with features, as a power of two
+TREE_FEATURES = (0, 3)  # the previous word and the pair, by column
 BLOCKS = 64  # parts in which the updates of the weights are averaged
 
 END = np.uint64(1)  # the hash that stands for the end of a text
@@ -153,13 +162,33 @@ def _classes(rank: np.ndarray, ending: np.ndarray) -> np.ndarray:
     return out
 
 
+SHORT_RUN = 16  # rows of a run that are added run by run together
+
+
+def _run_sums(values: np.ndarray, rows: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``values[rows]`` over runs that begin at ``lead``, and the runs' order.
+
+    As ``np.add.reduceat``, whose time for runs of whole rows is several times as long:
+    the k-th rows of all runs are added at once, the rest of a long run by itself.
+    """
+    counts = np.diff(lead, append=len(rows))
+    order = np.argsort(-counts, kind="stable")
+    start, counts = lead[order], counts[order]
+    sums = values[rows[start]]
+    for k in range(1, min(SHORT_RUN, int(counts[0]))):
+        some = int(np.searchsorted(-counts, -k))  # runs with more than k rows
+        sums[:some] += values[rows[start[:some] + k]]
+    for i in range(int(np.searchsorted(-counts, -SHORT_RUN))):
+        sums[i] += values[rows[start[i] + SHORT_RUN : start[i] + counts[i]]].sum(axis=0)
+    return sums, order
+
+
 class Softmax:
     """Class probabilities of batches of tokens, in arrays that are used again."""
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights
         self.total, self.part = (np.empty((BATCH, CLASSES), np.float32) for _ in range(2))
-        self.slopes = np.empty((BATCH * FEATURES, CLASSES), np.float32)
 
     def probabilities(self, features: np.ndarray) -> np.ndarray:
         """One row per token; valid until the next call."""
@@ -184,9 +213,8 @@ class Softmax:
             order = np.argsort(flat, kind="stable")
             flat = flat[order]
             lead = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-            slopes = self.slopes[: len(flat)]
-            np.take(slope, order // FEATURES, axis=0, out=slopes, mode="clip")
-            self._step(squares, flat[lead], np.add.reduceat(slopes, lead, axis=0))
+            sums, runs = _run_sums(slope, order // FEATURES, lead)
+            self._step(squares, flat[lead][runs], sums)
             self._step(squares, np.array([BIAS]), slope.sum(axis=0, keepdims=True))
 
     def _step(self, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
@@ -199,6 +227,65 @@ class Softmax:
         self.weights[rows] -= slope
 
 
+class Tree:
+    """Hierarchical softmax over the words inside the ending classes.
+
+    ``sums`` holds the smoothed counts of each class (row) and leaf; without weights, the
+    product of the branches is a leaf's share of its class.
+    """
+
+    def __init__(self, weights: np.ndarray, sums: np.ndarray):
+        self.weights, self.leaves = weights, sums.shape[1]
+        self.depth = self.leaves.bit_length() - 1
+        self.logs = np.log10(sums)
+        self.prior = np.zeros(sums.shape, np.float32)  # by node, of which the first is 1
+        for level in range(self.depth, 0, -1):
+            self.prior[:, 1 << (level - 1) : 1 << level] = np.log(sums[:, 1::2] / sums[:, ::2])
+            sums = sums[:, ::2] + sums[:, 1::2]
+
+    def leaf(self, hashes: np.ndarray) -> np.ndarray:
+        """Leaf of each word: the highest bits of its hash."""
+        if not self.depth:
+            return np.zeros(len(hashes), np.int64)
+        return (hashes >> np.uint64(64 - self.depth)).astype(np.int64)
+
+    def _paths(self, features: np.ndarray, ending: np.ndarray, leaf: np.ndarray):
+        """Branches taken, log odds of the right ones and places of their weights."""
+        level = np.arange(self.depth)
+        node = ((1 << level) + (leaf[:, None] >> (self.depth - level))) + ending[:, None] * self.leaves
+        right = (leaf[:, None] >> (self.depth - 1 - level) & 1).astype(np.float32)
+        odds = self.prior.reshape(-1)[node]
+        places = np.empty((len(TREE_FEATURES), *node.shape), np.int64)
+        for k, column in enumerate(TREE_FEATURES):
+            key = (node << 18) + (features[:, column].astype(np.int64)[:, None] << 2) + k
+            own = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            places[k] = own >> np.uint64(64 - TREE_BITS)
+            odds += self.weights[places[k]]
+        return right, odds, places
+
+    def log_chances(self, features: np.ndarray, ending: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Log10 probability of each word's leaf in its class."""
+        out = np.zeros(len(leaf))
+        for at in range(0, len(leaf), BATCH):
+            part = slice(at, at + BATCH)
+            right, odds, _ = self._paths(features[part], ending[part], leaf[part])
+            loss = np.logaddexp(0, odds * (1 - 2 * right))
+            out[part] = loss.sum(axis=1, dtype=np.float64) / -np.log(10)
+        return out
+
+    def learn(self, squares: np.ndarray, features: np.ndarray, ending: np.ndarray, leaf: np.ndarray) -> None:
+        """One gradient step per batch, with a step size per weight."""
+        for at in range(0, len(leaf) if self.depth else 0, BATCH):
+            part = slice(at, at + BATCH)
+            right, odds, places = self._paths(features[part], ending[part], leaf[part])
+            slope = 1 / (1 + np.exp(-odds)) - right
+            slope *= np.float32(len(slope) ** -0.5)
+            flat = places.reshape(-1)
+            slope = np.tile(slope.reshape(-1), len(TREE_FEATURES))
+            np.add.at(squares, flat, slope * slope)
+            np.subtract.at(self.weights, flat, np.float32(STEP) * slope / np.sqrt(squares[flat]))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokenizer = Tokenizer()
     kept: list[tuple[np.ndarray, np.ndarray]] = []
@@ -307,20 +394,29 @@ def ending_groups(texts: DataFrame) -> np.ndarray:
     return _ending_groups(seen.reshape(ENDINGS, PROFILE))
 
 
-def _train(weights: np.ndarray, head: Head, groups: np.ndarray):
+def _train(
+    weights: np.ndarray, inner: np.ndarray, head: Head, groups: np.ndarray, sums: np.ndarray
+):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, table = Tokenizer(), head.table()
-        own = weights.copy()
+        own, tree = weights.copy(), Tree(inner.copy(), sums)
         model, squares = Softmax(own), np.full_like(own, 0.1)
+        tree_squares = np.full_like(inner, 0.1)
         tokens = 0
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column("text")):
                 hashes, ending, first = _tokens(tokenizer, data, offsets, groups)
                 rank = table.find(hashes)
-                model.learn(squares, _features(rank, ending, first), _classes(rank, ending))
+                features, kind = _features(rank, ending, first), _classes(rank, ending)
+                model.learn(squares, features, kind)
+                inside = np.flatnonzero(kind > SINGLE_WORDS)
+                tree.learn(
+                    tree_squares, features[inside], ending[inside], tree.leaf(hashes[inside])
+                )
                 tokens += len(hashes)
         if tokens:
-            delta = (own - weights).reshape(BLOCKS, -1).astype(np.float16)
+            change = np.concatenate([(own - weights).reshape(-1), tree.weights - inner])
+            delta = change.reshape(BLOCKS, -1).astype(np.float16)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(BLOCKS, dtype=np.int32)),
                 pa.array(np.full(BLOCKS, tokens)),
@@ -349,9 +445,12 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ], UPDATES.names)
 
 
-def _score(weights: np.ndarray, head: Head, groups: np.ndarray, norms: np.ndarray):
+def _score(
+    weights: np.ndarray, inner: np.ndarray, head: Head, groups: np.ndarray, sums: np.ndarray
+):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, table, model = Tokenizer(), head.table(), Softmax(weights)
+        tree = Tree(inner, sums)
         logs = np.append(np.log10(head.counts + 1.0), 0.0)
         for batch in batches:
             for row, stop, data, offsets in text_chunks(batch.column("text")):
@@ -371,6 +470,11 @@ def _score(weights: np.ndarray, head: Head, groups: np.ndarray, norms: np.ndarra
                 listed = rank < len(head.hashes)
                 single = kind <= SINGLE_WORDS
                 tail = ~listed
+                inside = np.flatnonzero(~single)
+                own, leaf = ending[inside], tree.leaf(hashes[inside])
+                norms, chances = (np.zeros(len(kind)) for _ in range(2))
+                norms[inside] = tree.logs[own, leaf]
+                chances[inside] = tree.log_chances(features[inside], own, leaf)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(total(tail))]).astype(np.int32)),
                     pa.array(hashes[tail].view(np.int64)),
@@ -380,20 +484,46 @@ def _score(weights: np.ndarray, head: Head, groups: np.ndarray, norms: np.ndarra
                     ids.column("doc_id"), ids.column("held_out"), pa.array(np.diff(first)),
                     pa.array(total(listed).astype(np.int64)), pa.array(total(logs[rank])),
                     pa.array(total(np.where(single, logs[rank], 0.0))),
-                    pa.array(total(norms[kind])),
-                    pa.array(total(np.log10(np.maximum(chance.astype(np.float64), 1e-30)))),
+                    pa.array(total(norms)),
+                    pa.array(total(
+                        np.log10(np.maximum(chance.astype(np.float64), 1e-30)) + chances
+                    )),
                     lists,
                 ], SCORES.names)
     return run
 
 
-def _average_updates(updates: DataFrame) -> np.ndarray:
-    """Averaged updates of all weights; the model is small, whatever the corpus."""
+def _average_updates(updates: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Averaged updates of all weights, of classes and of trees; the model is small,
+    whatever the corpus."""
     averaged = updates.repartition(BLOCKS, "block").mapInArrow(_average, UPDATES)
-    delta = np.zeros((BLOCKS, ROWS * CLASSES // BLOCKS), dtype=np.float32)
+    delta = np.zeros((BLOCKS, (ROWS * CLASSES + (1 << TREE_BITS)) // BLOCKS), dtype=np.float32)
     for block, _, values in averaged.collect():  # one row per block
         delta[block] = np.frombuffer(values, np.float16)
-    return delta.reshape(ROWS, CLASSES)
+    flat = delta.reshape(-1)
+    return flat[: ROWS * CLASSES].reshape(ROWS, CLASSES), flat[ROWS * CLASSES :]
+
+
+def _tree_depth(words: int) -> int:
+    """Levels of the trees for so many words in all ending classes."""
+    share = words // (ENDING_CLASSES * LEAF_WORDS)
+    return min(max(share.bit_length() - 1, 0), TREE_DEPTH)
+
+
+def _leaf_sums(rest: DataFrame, groups: np.ndarray, depth: int) -> np.ndarray:
+    """Smoothed counts of every class and leaf, from ``rest(word, ending, n)``: every word
+    has one added, and a word that was not seen counts one in every leaf."""
+    kinds = rest.sparkSession.createDataFrame(
+        list(enumerate(groups.tolist())), "ending int, kind int"
+    )
+    leaf = F.shiftrightunsigned("word", 64 - depth) if depth else F.lit(0).cast("long")
+    summed = rest.join(F.broadcast(kinds), "ending").groupBy("kind", leaf.alias("leaf")).agg(
+        F.sum(F.col("n") + 1).alias("n")
+    )
+    sums = np.ones((ENDING_CLASSES, 1 << depth))
+    for kind, place, n in summed.collect():  # one row per class and leaf at most
+        sums[kind, place] += n
+    return sums
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -457,27 +587,29 @@ def scores(docs: DataFrame) -> DataFrame:
         counts.withColumn("own", F.col("word") == int(END))
     )
     totals = np.ones(CLASSES)
-    norms, kinds_in = np.zeros(CLASSES), np.zeros(CLASSES)
-    train_tokens = vocabulary = 0
+    train_tokens = vocabulary = inside = 0
     summed = kinds.groupBy("own", "ending").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     for own, ending, n, v in summed.collect():  # at most two rows per ending
         train_tokens, vocabulary = train_tokens + n, vocabulary + v
         if not own:
             totals[1 + SINGLE_WORDS + groups[ending]] += n
-            kinds_in[1 + SINGLE_WORDS + groups[ending]] += v
-    rest = slice(1 + SINGLE_WORDS, None)
-    norms[rest] = np.log10(totals[rest] + kinds_in[rest])
+            inside += v
+    sums = _leaf_sums(kinds.filter("not own"), groups, _tree_depth(inside))
     for rank in range(len(single)):
         totals[1 + rank] += head.counts[rank]
     is_end = head.hashes == END
     totals[0] += head.counts[is_end].sum()
     weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
     weights[BIAS] = np.log(totals / totals.sum())
+    inner = np.zeros(1 << TREE_BITS, dtype=np.float32)
     for step in range(ROUNDS):
         part = training.filter(F.pmod("h", F.lit(ROUNDS)) == step).select("text")
-        weights = weights + _average_updates(part.mapInArrow(_train(weights, head, groups), UPDATES))
+        classes, nodes = _average_updates(
+            part.mapInArrow(_train(weights, inner, head, groups, sums), UPDATES)
+        )
+        weights, inner = weights + classes, inner + nodes
     scored = materialize(
-        texts.mapInArrow(_score(weights, head, groups, norms), SCORES).withColumn(
+        texts.mapInArrow(_score(weights, inner, head, groups, sums), SCORES).withColumn(
             "row", F.monotonically_increasing_id()
         ), "scored",
     )

@@ -133,3 +133,47 @@ def test_ends_that_are_rare_have_a_probability(documents, monkeypatch):
     rows = [(i, " ".join(f"w{k % 50}" for k in range(1000))) for i in range(3)]
     out = lm.scores(documents(rows)).collect()
     check(out, rows)
+
+
+def test_words_inside_a_class_add_up_and_follow_the_history():
+    """Without weights a leaf has its share of the class; with them, whatever the
+    history, the leaves add up to one, and what follows a word becomes likelier."""
+    rng = np.random.default_rng(2)
+    sums = rng.integers(1, 50, (lm.ENDING_CLASSES, 8)).astype(float)
+    leaves, kind = np.arange(8), np.full(8, 3)
+    history = np.tile(np.array([[17, 0, 0, 99]], np.uint16), (8, 1))
+    tree = lm.Tree(np.zeros(1 << lm.TREE_BITS, np.float32), sums)
+    plain = 10 ** tree.log_chances(history, kind, leaves)
+    assert np.allclose(plain, sums[3] / sums[3].sum(), atol=1e-5)
+    rare, squares = int(sums[3].argmin()), np.full(1 << lm.TREE_BITS, 0.1, np.float32)
+    seen = np.tile(history[:1], (50, 1))
+    for _ in range(20):
+        tree.learn(squares, seen, np.full(50, 3), np.full(50, rare))
+    after = 10 ** tree.log_chances(history, kind, leaves)
+    assert after[rare] > 2 * plain[rare] and np.isclose(after.sum(), 1, atol=1e-5)
+    other = 10 ** tree.log_chances(np.tile(np.array([[18, 0, 0, 98]], np.uint16), (8, 1)), kind, leaves)
+    assert np.allclose(other, plain, atol=1e-2) and np.isclose(other.sum(), 1, atol=1e-5)
+
+
+def test_the_same_word_scores_by_the_word_before(documents, monkeypatch):
+    """Two words of one ending class: which of them comes depends on the word before."""
+    monkeypatch.setattr(lm, "SINGLE_WORDS", 0)
+    rng = np.random.default_rng(4)
+    pair, rows = ["xabing", "yaling"], []
+    for i in range(300):
+        fill = " ".join(f"w{k}" for k in rng.integers(0, 400, 20))
+        rows.append((i, " ".join(f"{p} {w} {fill}" for p, w in zip(["left", "right"] * 6, pair * 6))))
+    rows += [(1000, "left xabing"), (1001, "left yaling"), (1002, "right xabing"), (1003, "right yaling")]
+    found = {r.doc_id: r.score for r in lm.scores(documents(rows)).collect()}
+    assert found[1000] - found[1001] > found[1002] - found[1003] + 0.1
+
+
+def test_run_sums_equal_plain_ones():
+    rng = np.random.default_rng(6)
+    for many in (3, 40, 2000):
+        flat = np.sort(rng.integers(0, many, 3000))
+        rows = rng.permutation(3000) % 500
+        values = rng.standard_normal((500, 7))
+        lead = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        sums, order = lm._run_sums(values, rows, lead)
+        assert np.allclose(sums, np.add.reduceat(values[rows], lead, axis=0)[order])
