@@ -30,7 +30,8 @@ from punctual.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHUNK_BYTES = 1 << 20
+# Bytes of text that are walked at a time; a task holds some hundred bytes for each.
+CHUNK_BYTES = 1 << 18
 LANE_BYTES = 512
 # Encoded stretches that a task remembers; beyond it, it forgets all of them.
 REMEMBERED = 1 << 20

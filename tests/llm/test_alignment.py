@@ -138,3 +138,27 @@ def test_links_and_cuts(spark, plain, documents):
         assert r.cuts == sorted(set(map(int, ends_a)) & set(map(int, ends_b)))
         assert [int(ends_a[i]) for i in r.link_a] == r.cuts
         assert [int(ends_b[i]) for i in r.link_b] == r.cuts
+
+
+def test_memory_of_a_task_is_bounded_by_its_chunks():
+    """Arrays of a chunk, not of a whole Arrow batch, stand beside what a task remembers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [" " + " ".join(f"w{(i * 37 + k) % 900}" for k in range(500)) for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"]
+    )
+    run = alignment._digest(None, None)
+    tracemalloc.start()
+    try:
+        out = run(iter([batch]))
+        next(out)
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        rows = sum(part.num_rows for part in out)
+        peak = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert rows > 1000 and peak < 40e6
