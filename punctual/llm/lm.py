@@ -168,8 +168,7 @@ SHORT_RUN = 16  # rows of a run that are added run by run together
 def _run_sums(values: np.ndarray, rows: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of ``values[rows]`` over runs that begin at ``lead``, and the runs' order.
 
-    As ``np.add.reduceat``, whose time for runs of whole rows is several times as long:
-    the k-th rows of all runs are added at once, the rest of a long run by itself.
+    As ``np.add.reduceat``, which took more than half the time of a step: the k-th rows of all runs are added at once, the rest of a long run by itself.
     """
     counts = np.diff(lead, append=len(rows))
     order = np.argsort(-counts, kind="stable")
