@@ -1,8 +1,10 @@
 import math
+import pickle
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from punctual.llm import lm
 
 from tests.llm.conftest import SMALL, words
@@ -177,3 +179,60 @@ def test_run_sums_equal_plain_ones():
         lead = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
         sums, order = lm._run_sums(values, rows, lead)
         assert np.allclose(sums, np.add.reduceat(values[rows], lead, axis=0)[order])
+
+
+def test_arrays_that_travelled_are_learnt_from_on_the_fast_path(monkeypatch):
+    """np.add.at is slow on arrays whose dtype is not numpy's own object, as after unpickling."""
+    weights = np.zeros((lm.ROWS, lm.CLASSES), np.float32)
+    inner, sums = np.zeros(1 << lm.TREE_BITS, np.float32), np.ones((lm.ENDING_CLASSES, 8))
+    head = lm.Head(np.array([lm.END]), np.array([1.0]))
+    sent = pickle.loads(pickle.dumps((weights, inner, head, np.zeros(lm.ENDINGS, np.int32), sums)))
+    assert sent[1].dtype is not np.dtype(np.float32)
+    learn, found = lm.Tree.learn, []
+
+    def spied(tree, squares, *tokens):
+        found.append(tree.weights.dtype is squares.dtype is np.dtype(np.float32))
+        learn(tree, squares, *tokens)
+
+    monkeypatch.setattr(lm.Tree, "learn", spied)
+    batch = pa.RecordBatch.from_pydict({"text": ["some words of a text", None]})
+    assert len(list(lm._train(*sent)(iter([batch])))) == 1
+    assert found == [True]
+
+
+def test_class_probabilities_of_fixed_weights_equal_plain_ones():
+    """Also where all products of factors vanish, as of rows that contradict each other."""
+    rng = np.random.default_rng(7)
+    for scale in (1, 30):
+        weights = (rng.standard_normal((lm.ROWS, lm.CLASSES)) * scale).astype(np.float32)
+        features = rng.integers(1, lm.ROWS, (3000, lm.FEATURES)).astype(np.uint16)
+        classes = rng.integers(0, lm.CLASSES, 3000)
+        odds = weights[lm.BIAS] + weights[features].sum(axis=1, dtype=np.float64)
+        odds -= odds.max(axis=1, keepdims=True)
+        plain = (np.exp(odds) / np.exp(odds).sum(axis=1, keepdims=True))[np.arange(3000), classes]
+        got = lm.Chances(weights).of(features, classes)
+        assert np.allclose(got, plain, rtol=1e-3, atol=1e-30)
+
+
+def test_paths_of_a_tree_equal_plain_ones():
+    """Branches, places of weights and log chances, odds too large for an exponential included."""
+    rng = np.random.default_rng(8)
+    leaves, depth = 64, 6
+    tree = lm.Tree(
+        (rng.standard_normal(1 << lm.TREE_BITS) * 60).astype(np.float32),
+        rng.integers(1, 90, (lm.ENDING_CLASSES, leaves)).astype(float),
+    )
+    features = rng.integers(0, lm.ROWS, (300, lm.FEATURES)).astype(np.uint16)
+    ending, leaf = rng.integers(0, lm.ENDING_CLASSES, 300).astype(np.int32), rng.integers(0, leaves, 300)
+    got = tree.log_chances(features, ending, leaf)
+    for i in range(300):
+        node, total = 1, 0.0
+        for level in range(depth):
+            odds = float(tree.prior[ending[i], node])
+            for k, column in enumerate(lm.TREE_FEATURES):
+                key = (int(ending[i]) * leaves + node << 18) + (int(features[i, column]) << 2) + k
+                odds += float(tree.weights[key * 0x9E3779B97F4A7C15 % (1 << 64) >> 64 - lm.TREE_BITS])
+            right = int(leaf[i]) >> (depth - 1 - level) & 1
+            total -= np.logaddexp(0, -odds if right else odds) / math.log(10)
+            node = 2 * node + right
+        assert math.isclose(got[i], total, rel_tol=1e-5, abs_tol=1e-5)
