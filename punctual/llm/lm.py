@@ -57,6 +57,8 @@ TREE_DEPTH = 12  # bits of a word's hash that tell the words of a class apart, a
 LEAF_WORDS = 4  # distinct words of a leaf, at least, on average
 TREE_BITS = 19  # hashed weights of tree nodes with features, as a power of two
 TREE_FEATURES = (0, 3)  # the previous word and the pair, by column
+KNOWN_WORDS = 1 << 13  # words that a task counts by look-up
+KNOWN_SLOTS = 1 << 17
 BLOCKS = 64  # parts in which the updates of the weights are averaged
 
 END = np.uint64(1)  # the hash that stands for the end of a text
@@ -77,7 +79,9 @@ SCORES = T.StructType([
     T.StructField("n_tokens", T.LongType()), T.StructField("head_known", T.LongType()),
     T.StructField("head_sum", T.DoubleType()), T.StructField("single_sum", T.DoubleType()),
     T.StructField("norm_sum", T.DoubleType()), T.StructField("class_sum", T.DoubleType()),
-    T.StructField("tail", T.ArrayType(T.LongType())),
+    T.StructField("tail", T.ArrayType(T.StructType([
+        T.StructField("word", T.LongType()), T.StructField("k", T.LongType()),
+    ]))),
 ])
 
 
@@ -140,21 +144,27 @@ def _features(rank: np.ndarray, ending: np.ndarray, first: np.ndarray) -> np.nda
     own = np.where(rank < CONTEXT_WORDS, rank, CONTEXT_WORDS + 1 + ending)
     total, start = len(own), CONTEXT_WORDS
     place = np.arange(total) - np.repeat(first[:-1], np.diff(first))
-    back = []
-    for k in (1, 2, 3):
-        before = np.full(total, start, dtype=np.uint64)
-        before[k:] = own[: total - k]
-        before[place < k] = start
-        back.append(before)
-    seeds = (np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-    rows = [mix((b + np.uint64(1)) * s) for b, s in zip(back, seeds)]
-    rows.append(mix(rows[0] * np.uint64(3) + rows[1]))
     out = np.empty((total, FEATURES), dtype=np.uint16)
-    for k, row in enumerate(rows):
-        out[:, k] = (row % np.uint64(ROWS - 1)).astype(np.uint16) + 1
+    # All that a history word can be is hashed once.
+    kinds = np.arange(1, CONTEXT_WORDS + ENDING_CLASSES + 2, dtype=np.uint64)
+    pair = np.zeros(total, dtype=np.uint64)
+    seeds = (np.uint64(p) for p in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+    for k, seed in enumerate(seeds):
+        before = np.full(total, start, dtype=np.int64)
+        before[k + 1 :] = own[: max(total - k - 1, 0)]
+        before[place <= k] = start
+        hashed = mix(kinds * seed)
+        out[:, k] = _row(hashed).take(before)
+        if k < 2:
+            pair += (hashed * np.uint64(3 - 2 * k)).take(before)
+    out[:, 3] = _row(mix(pair))
     return out
 
 
+def _row(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(ROWS - 1)).astype(np.uint16) + np.uint16(1)
+
+
 def _classes(rank: np.ndarray, ending: np.ndarray) -> np.ndarray:
     single = rank < SINGLE_WORDS
     out = np.where(single, rank + 1, 1 + SINGLE_WORDS + ending)
@@ -194,7 +204,7 @@ def _run_sums(values: np.ndarray, rows: np.ndarray, lead: np.ndarray) -> tuple[n
         for run, (end, count) in enumerate(zip(ends.tolist(), counts.tolist())):
             np.dot(ones[:count], every[end - count : end], out=sums[run])
     start, rest = start[long:], sums[long:]
-    rest[:] = values.take(rows[start], axis=0)
+    np.take(values, rows[start], axis=0, out=rest, mode="clip")
     for k in range(1, SHORT_RUN):
         some = int(above[k]) - long
         rest[:some] += values.take(rows[start[:some] + k], axis=0)
@@ -235,7 +245,7 @@ class Softmax:
             lead = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
             sums, runs = _run_sums(slope, order // FEATURES, lead)
             self._step(squares, flat[lead][runs].astype(np.intp), sums)
-            self._step(squares, np.array([BIAS]), slope.sum(axis=0, keepdims=True))
+            self._step(squares, np.array([BIAS]), np.ones((1, len(slope)), np.float32) @ slope)
 
     def _step(self, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
         seen = squares.take(rows, axis=0)
@@ -244,7 +254,9 @@ class Softmax:
         np.sqrt(seen, out=seen)
         slope /= seen
         slope *= np.float32(STEP)
-        self.weights[rows] -= slope
+        changed = self.weights.take(rows, axis=0)
+        changed -= slope
+        self.weights[rows] = changed
 
 
 class Chances:
@@ -257,6 +269,7 @@ class Chances:
     def __init__(self, weights: np.ndarray):
         self.model = Softmax(weights)
         self.factors = np.exp(weights - weights.max(axis=1, keepdims=True))
+        self.ones = np.ones(CLASSES, np.float32)
 
     def of(self, features: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Probability of each token's class."""
@@ -264,11 +277,14 @@ class Chances:
         columns = features.T.astype(np.intp)
         for at in range(0, len(classes), BATCH):
             some, kind = columns[:, at : at + BATCH], classes[at : at + BATCH]
-            product = self.factors.take(some[0], axis=0)
+            # The arrays of the model are free until an unsure token needs it.
+            product, part = self.model.total[: len(kind)], self.model.part[: len(kind)]
+            np.take(self.factors, some[0], axis=0, out=product, mode="clip")
             product *= self.factors[BIAS]
             for k in range(1, FEATURES):
-                product *= self.factors.take(some[k], axis=0)
-            sums = product.sum(axis=1)
+                np.take(self.factors, some[k], axis=0, out=part, mode="clip")
+                product *= part
+            sums = product @ self.ones
             unsure = np.flatnonzero(sums < SURE)
             sums[unsure] = 1
             found = product[np.arange(len(kind)), kind] / sums
@@ -340,20 +356,23 @@ class Tree:
         for at in range(0, len(leaf) if self.depth else 0, BATCH):
             part = slice(at, at + BATCH)
             right, odds, places = self._paths(features[part], ending[part], leaf[part])
-            slope = 1 / (1 + np.exp(-odds)) - right
+            slope = (1 / (1 + np.exp(-odds)) - right).reshape(-1)
             slope *= np.float32(len(leaf[part]) ** -0.5)
-            flat = places.reshape(-1)
-            slope = np.tile(slope.reshape(-1), len(TREE_FEATURES))
-            np.add.at(squares, flat, slope * slope)
+            places, square = places.reshape(len(TREE_FEATURES), -1), slope * slope
+            for own in places:
+                np.add.at(squares, own, square)
             slope *= np.float32(STEP)
-            slope /= np.sqrt(squares.take(flat))
-            np.subtract.at(self.weights, flat, slope)
+            for own in places:
+                np.subtract.at(self.weights, own, slope / np.sqrt(squares.take(own)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokenizer = Tokenizer()
     kept: list[tuple[np.ndarray, np.ndarray]] = []
     ends = held = 0
+    # The frequent words of the first chunk are counted by look-up, the others by sorting.
+    table: _Table | None = None
+    known = seen = np.zeros(0, np.int64)
 
     def merged(parts):
         hashes = np.concatenate([p[0] for p in parts])
@@ -376,16 +395,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, data, offsets in text_chunks(batch.column("text")):
             words = tokenizer.words(data, offsets)
             ends += len(offsets) - 1
+            if table:
+                rank = table.find(words.hashes)
+                seen += np.bincount(rank, minlength=len(seen))
+                words = words.some(np.flatnonzero(rank == len(known)))
             if len(words.hashes):
                 one = np.int64(1) << 12 | _endings(words, data).astype(np.int64)
                 kept.append(merged([(words.hashes, one)]))
                 held += len(kept[-1][0])
+            if not table and len(words.hashes):
+                often = kept[-1][1].argsort()[: -KNOWN_WORDS - 1 : -1]
+                table, known = _Table(kept[-1][0][often], KNOWN_SLOTS), kept[-1][1][often] & 4095
+                hashes, seen = kept[-1][0][often], np.zeros(len(known) + 1, np.int64)
             if held > 1 << 21:
                 kept = [merged(kept)]
                 if len(kept[0][0]) > 1 << 20:
                     yield rows(kept)
                     kept = []
                 held = sum(len(k[0]) for k in kept)
+    if table:
+        kept.append((hashes, seen[:-1] << 12 | known))
     if kept:
         yield rows(kept)
     yield pa.RecordBatch.from_arrays(
@@ -509,6 +538,20 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ], UPDATES.names)
 
 
+def _tail_lists(text: np.ndarray, hashes: np.ndarray, tail: np.ndarray, texts: int) -> pa.ListArray:
+    """The distinct words among the tokens at ``tail``, and how often they occur, by text."""
+    order = tail[np.lexsort((hashes[tail], text[tail]))]
+    own, words = text[order], hashes[order]
+    lead = np.flatnonzero(
+        np.append(True, (own[1:] != own[:-1]) | (words[1:] != words[:-1]))[: len(order)]
+    )
+    pairs = pa.StructArray.from_arrays([
+        pa.array(words[lead].view(np.int64)), pa.array(np.diff(lead, append=len(order))),
+    ], ["word", "k"])
+    first = np.append(0, np.cumsum(np.bincount(own[lead], minlength=texts)))
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pairs)
+
+
 def _score(
     weights: np.ndarray, inner: np.ndarray, head: Head, groups: np.ndarray, sums: np.ndarray
 ):
@@ -529,16 +572,12 @@ def _score(
 
                 listed = rank < len(head.hashes)
                 single = kind <= SINGLE_WORDS
-                tail = ~listed
                 inside = np.flatnonzero(~single)
                 own, leaf = ending[inside], tree.leaf(hashes[inside])
                 norms, chances = (np.zeros(len(kind)) for _ in range(2))
-                norms[inside] = tree.logs[own, leaf]
+                norms[inside] = tree.logs.reshape(-1).take(own * tree.leaves + leaf)
                 chances[inside] = tree.log_chances(features[inside], own, leaf)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(total(tail))]).astype(np.int32)),
-                    pa.array(hashes[tail].view(np.int64)),
-                )
+                lists = _tail_lists(text, hashes, np.flatnonzero(~listed), stop - row)
                 ids = batch.slice(row, stop - row)
                 yield pa.RecordBatch.from_arrays([
                     ids.column("doc_id"), ids.column("held_out"), pa.array(np.diff(first)),
@@ -588,7 +627,8 @@ def _leaf_sums(rest: DataFrame, groups: np.ndarray, depth: int) -> np.ndarray:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``(word, ending, n)`` of ``texts(text)``; the end of a text is a word too."""
-    counts = texts.mapInArrow(_count, COUNTS).groupBy("word").agg(
+    # A task's rows are sums already, so they are not summed again before the shuffle.
+    counts = texts.mapInArrow(_count, COUNTS).repartition("word").groupBy("word").agg(
         F.max("ending").alias("ending"), F.sum("n").alias("n")
     ).filter("n > 0")
     return materialize(counts, "words")
@@ -673,9 +713,7 @@ def scores(docs: DataFrame) -> DataFrame:
             "row", F.monotonically_increasing_id()
         ), "scored",
     )
-    tail = scored.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(
-        F.count("*").alias("k")
-    )
+    tail = scored.select("row", F.inline("tail"))
     known = tail.join(counts.select("word", "n"), "word").groupBy("row").agg(
         F.sum("k").alias("tail_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("tail_sum"),
     )

@@ -31,12 +31,6 @@ def _byte_values() -> np.ndarray:
     return values
 
 
-def _is_space() -> np.ndarray:
-    table = np.zeros(256, dtype=bool)
-    table[[0x20, *range(0x09, 0x0E)]] = True
-    return table
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values so that all their bits can be used."""
     out = values ^ (values >> np.uint64(33))
@@ -63,6 +57,11 @@ class Words:
     def __init__(self, hashes, first, starts, ends):
         self.hashes, self.first, self.starts, self.ends = hashes, first, starts, ends
 
+    def some(self, places: np.ndarray) -> Words:
+        """The words at ``places``, in order."""
+        first = np.searchsorted(places, self.first)
+        return Words(self.hashes[places], first, self.starts[places], self.ends[places])
+
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
@@ -71,7 +70,7 @@ class Tokenizer:
     """Splits chunks of bytes into hashed words; keeps its tables between chunks."""
 
     def __init__(self):
-        self.values, self.space = _byte_values(), _is_space()
+        self.values = _byte_values()
         self.powers = self.inverse = np.ones(1, dtype=np.uint64)
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -83,7 +82,7 @@ class Tokenizer:
         if len(self.powers) < size + 1:
             self.powers = _powers(_BASE, size + 1)
             self.inverse = _powers(_INVERSE, size + 1)
-        word = ~self.space[data]
+        word = (data != 0x20) & (data - np.uint8(0x09) > 0x0D - 0x09)
         cuts = offsets[(offsets > 0) & (offsets < size)]
         joined = np.empty(size + 1, dtype=bool)  # whether byte i continues byte i - 1
         joined[0] = joined[size] = False

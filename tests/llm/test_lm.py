@@ -236,3 +236,27 @@ def test_paths_of_a_tree_equal_plain_ones():
             total -= np.logaddexp(0, -odds if right else odds) / math.log(10)
             node = 2 * node + right
         assert math.isclose(got[i], total, rel_tol=1e-5, abs_tol=1e-5)
+
+
+def test_counts_by_look_up_and_by_sorting_add_up():
+    """Several chunks: words of the first one are counted by look-up in the others."""
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"{'Ww'[i % 2]}{w}" for w in rng.zipf(1.3, 8000) % 30_000) for i in range(40)]
+    texts += [None, "", "only here"]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[a : a + 15]}) for a in (0, 15, 30)]
+    got, ending = Counter(), {}
+    for part in lm._count(iter(batches)):
+        for word, end, n in zip(*(c.to_pylist() for c in part.columns)):
+            got[word] += n
+            assert ending.setdefault(word, end) == end
+    plain = Counter(w for t in texts for w in words(t))
+    assert sorted(got.values()) == sorted([*plain.values(), len(texts)])
+
+
+def test_tail_words_are_listed_once_per_text():
+    hashes = np.array([7, 9, 7, 1, 7, 7, 1, 5, 5], np.uint64)
+    text = np.array([0, 0, 0, 0, 2, 2, 2, 3, 3])
+    got = lm._tail_lists(text, hashes, np.flatnonzero(hashes > 4), 5).to_pylist()
+    plain = [{7: 2, 9: 1}, {}, {7: 2}, {5: 2}, {}]
+    assert [{r["word"]: r["k"] for r in rows} for rows in got] == plain
+    assert lm._tail_lists(text, hashes, np.zeros(0, np.int64), 5).to_pylist() == [[]] * 5
