@@ -189,25 +189,27 @@ def _run_sums(values: np.ndarray, rows: np.ndarray, lead: np.ndarray) -> tuple[n
     """Sums of ``values[rows]`` over runs that begin at ``lead``, and the runs' order.
 
     As ``np.add.reduceat``, which took more than half the time of a step: the k-th rows of all
-    short runs are added at once; a long run is a product with ones.
+    runs are added at once; the rest of long runs is gathered at once and added run by run.
     """
     counts = np.diff(lead, append=len(rows))
     order = np.argsort(-counts, kind="stable")
     start, counts = lead[order], counts[order]
     above = np.searchsorted(-counts, -np.arange(SHORT_RUN + 1))  # runs with more than k rows
+    sums = values.take(rows[start], axis=0)
+    for k in range(1, SHORT_RUN):
+        some = int(above[k])
+        sums[:some] += values.take(rows[start[:some] + k], axis=0)
     long = int(above[SHORT_RUN])
-    sums = np.empty((len(lead), values.shape[1]), values.dtype)
     if long:
-        ends = np.cumsum(counts[:long])
-        at = np.arange(ends[-1]) + np.repeat(start[:long] - ends + counts[:long], counts[:long])
-        every, ones = values.take(rows[at], axis=0), np.ones(counts[0], values.dtype)
-        for run, (end, count) in enumerate(zip(ends.tolist(), counts.tolist())):
-            np.dot(ones[:count], every[end - count : end], out=sums[run])
-    start, rest = start[long:], sums[long:]
-    np.take(values, rows[start], axis=0, out=rest, mode="clip")
-    for k in range(1, SHORT_RUN):
-        some = int(above[k]) - long
-        rest[:some] += values.take(rows[start[:some] + k], axis=0)
+        left = counts[:long] - SHORT_RUN
+        ends = np.cumsum(left)
+        at = np.arange(ends[-1]) + np.repeat(start[:long] + SHORT_RUN - ends + left, left)
+        every, rest = values.take(rows[at], axis=0), np.empty((long, values.shape[1]), values.dtype)
+        first = 0
+        for run, end in enumerate(ends.tolist()):
+            np.add.reduce(every[first:end], axis=0, out=rest[run])
+            first = end
+        sums[:long] += rest
     return sums, order
 
 
@@ -245,7 +247,7 @@ class Softmax:
             lead = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
             sums, runs = _run_sums(slope, order // FEATURES, lead)
             self._step(squares, flat[lead][runs].astype(np.intp), sums)
-            self._step(squares, np.array([BIAS]), np.ones((1, len(slope)), np.float32) @ slope)
+            self._step(squares, np.array([BIAS]), slope.sum(axis=0, keepdims=True))
 
     def _step(self, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
         seen = squares.take(rows, axis=0)
@@ -356,9 +358,11 @@ class Tree:
         for at in range(0, len(leaf) if self.depth else 0, BATCH):
             part = slice(at, at + BATCH)
             right, odds, places = self._paths(features[part], ending[part], leaf[part])
-            slope = (1 / (1 + np.exp(-odds)) - right).reshape(-1)
+            # Token by token, so that sums have the same order whatever the layout.
+            slope = (1 / (1 + np.exp(-odds)) - right).T.reshape(-1)
             slope *= np.float32(len(leaf[part]) ** -0.5)
-            places, square = places.reshape(len(TREE_FEATURES), -1), slope * slope
+            places = places.swapaxes(1, 2).reshape(len(TREE_FEATURES), -1)
+            square = slope * slope
             for own in places:
                 np.add.at(squares, own, square)
             slope *= np.float32(STEP)
