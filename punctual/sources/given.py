@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from punctual.plans.star import build
-from punctual.session import scratch_path, sized_shuffles
+from punctual.session import dropped_shuffles, dropped_tables, scratch_path, sized_shuffles
 from punctual.sources.retail import TABLES, read_tables, staging_from_tables
 from punctual.sources.warehouse import Warehouse
 
@@ -38,7 +38,8 @@ def warehouse_for(spark: SparkSession, folder: str) -> Warehouse:
     content = _content(spark, folder)
     key = (spark.sparkContext.applicationId, folder, content)
     if key not in _built:
-        with sized_shuffles(spark, WIDENING * (content[0] or 0)):
+        sized = sized_shuffles(spark, WIDENING * (content[0] or 0))
+        with sized, dropped_shuffles(spark), dropped_tables(spark):
             staging = staging_from_tables(read_tables(spark, folder))
             _built[key] = build(spark, staging, scratch_path(spark, "warehouse"))
     return _built[key]
