@@ -8,6 +8,8 @@ from punctual.plans import star
 from punctual.session import (
     DROPS, dropped_shuffles, dropped_tables, materialize, scratch_path, scratch_root,
 )
+from punctual.sources.warehouse import Warehouse
+from punctual.streaming import incremental
 
 
 def shuffle_files(spark):
@@ -49,6 +51,17 @@ def test_a_build_leaves_no_shuffle_and_no_scratch_table(spark, staging):
     assert house.table("fact_order_items").count() == 30
 
 
+def test_a_batch_and_a_refresh_leave_no_shuffle_and_no_scratch_table(spark, staging, house):
+    loaded = house({"order_id": 100})
+    batch = mixed_orders(staging).filter("order_item_id > 1")  # the house has the first key
+    shuffles, tables = shuffle_files(spark), scratch_tables(spark)
+    incremental.load_batch(loaded, batch)
+    fresh = incremental.refresh_orders(Warehouse.open(spark, loaded.root))
+    assert not left(spark, shuffles)
+    assert scratch_tables(spark) == tables
+    assert fresh.table("order_grain").count() == 11
+
+
 def test_the_setting_returns_after_the_last_of_several_blocks(spark):
     before = spark.conf.get(DROPS, None)
 
